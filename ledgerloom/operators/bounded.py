@@ -1,0 +1,19 @@
+"""Small sides whose size is checked before they are broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+MAX_ROWS = 10_000
+
+
+def checked_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The same rows as a literal relation if there are at most ``max_rows``.
+
+    Spark then knows the size and broadcasts it in a join.  A larger table comes
+    back as it is, and its join is planned (and if need be skew-split) as usual.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return df.sparkSession.createDataFrame(rows, df.schema)
