@@ -1,3 +1,4 @@
 """Imports every module that registers queries."""
 
 from checks import q_star  # noqa: F401
+from checks import q_features  # noqa: F401

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,24 +47,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def rounded(df: DataFrame, names: Sequence[str], digits: int) -> DataFrame:
-    wanted = set(names)
-    return df.select(*[F.round(c, digits).alias(c) if c in wanted else F.col(c) for c in df.columns])
+def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
+    return df.select(
+        *[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns]
+    )
 
 
-def query(name: str, sql: str | None = None, round_: Sequence[str] = (), digits: int = 6):
-    """Register a query; columns in ``round_`` are rounded on both sides."""
+def query(name: str, sql: str | None = None, round_: Sequence[str] = (), digits: int = 9):
+    """Register a query.
+
+    Columns in ``round_`` hold sums of fractions, whose last bits depend on the
+    order of addition; both sides round them.  Variances are large, so they get
+    fewer digits.
+    """
+    places = {c: 4 if "_var" in c else digits for c in round_}
 
     def register(build: Callable[[Data], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             df = build(Data(spark, folder))
-            return rounded(df, round_, digits) if round_ else df
+            return rounded(df, places) if places else df
 
         QUERIES[name] = run
         if sql is not None:
             text = with_roles(sql)
-            if round_:
-                swaps = ", ".join(f"round({c}, {digits}) AS {c}" for c in round_)
+            if places:
+                swaps = ", ".join(f"round({c}, {n}) AS {c}" for c, n in places.items())
                 text = f"SELECT * REPLACE ({swaps}) FROM ({text})"
             SQL[name] = text
         return build
