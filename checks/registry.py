@@ -57,10 +57,17 @@ def query(name: str, sql: str | None = None, round_: Sequence[str] = (), digits:
     """Register a query.
 
     Columns in ``round_`` hold sums of fractions, whose last bits depend on the
-    order of addition; both sides round them.  Variances are large, so they get
-    fewer digits.
+    order of addition; both sides round them.  Large variances get fewer digits.
     """
-    places = {c: 4 if "_var" in c else digits for c in round_}
+
+    def places_of(name: str) -> int:
+        if "_var" not in name:
+            return digits
+        if "_amt_" in name or "_days_" in name:
+            return 4
+        return 6 if "_months_" in name or "_mature_" in name else digits
+
+    places = {c: places_of(c) for c in round_}
 
     def register(build: Callable[[Data], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:

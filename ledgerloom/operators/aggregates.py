@@ -8,39 +8,42 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import matches, ratio
-from ledgerloom.operators.columns import safe_name
+from ledgerloom.functions import ratio
+from ledgerloom.operators.columns import distinct_names, safe_name
 
 LOOKBACK = "lookback"
 
 
-def _over(value: Column, scope: Column | None) -> Column:
-    return value if scope is None else F.when(scope, value)
+def sql_text(value) -> str:
+    """A value as a SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _if_any(scope: Column | None, value: Column) -> Column:
+def _if_any(scope: str | None, value: str) -> str:
     """NULL for groups without a row in scope, as if they had been filtered away."""
-    return value if scope is None else F.when(F.count_if(scope) > 0, value)
+    return value if scope is None else f"CASE WHEN count_if({scope}) > 0 THEN {value} END"
 
 
-def _sum(value: Column, scope: Column | None) -> Column:
+def _sum(value: str, scope: str | None) -> str:
     """A sum over no known value is 0, not NULL."""
-    return _if_any(scope, F.coalesce(F.sum(_over(value, scope)), F.lit(0)))
+    return _if_any(scope, f"coalesce(sum({value}), 0)")
 
 
-def _size(value: Column, scope: Column | None) -> Column:
-    return _if_any(scope, F.count(F.lit(1)) if scope is None else F.count_if(scope))
+def _size(value: str, scope: str | None) -> str:
+    return _if_any(scope, "count(1)" if scope is None else f"count_if({scope})")
 
 
+# SQL text rather than Column calls: a wide table has thousands of these, and
+# each call on a Column is a round trip to the JVM.
 FUNCTIONS = {
-    "min": lambda v, s: F.min(_over(v, s)),
-    "max": lambda v, s: F.max(_over(v, s)),
-    "mean": lambda v, s: F.avg(_over(v, s)),
+    "min": lambda v, s: f"min({v})",
+    "max": lambda v, s: f"max({v})",
+    "mean": lambda v, s: f"avg({v})",
     "sum": _sum,
-    "var": lambda v, s: F.var_samp(_over(v, s)),
+    "var": lambda v, s: f"var_samp({v})",
     "size": _size,
-    "count": lambda v, s: _if_any(s, F.count(_over(v, s))),
-    "nunique": lambda v, s: _if_any(s, F.count_distinct(_over(v, s))),
+    "count": lambda v, s: _if_any(s, f"count({v})"),
+    "nunique": lambda v, s: _if_any(s, f"count(DISTINCT {v})"),
 }
 
 
@@ -49,29 +52,42 @@ def aggregate_name(prefix: str, column: str, function: str) -> str:
 
 
 def measures(
-    spec: Mapping[str, Iterable[str]], prefix: str = "", scope: Column | None = None
+    spec: Mapping[str, Iterable[str]], prefix: str = "", scope: str | None = None
 ) -> list[Column]:
-    """Aggregate columns for a spec; ``scope`` limits them to some of the rows."""
+    """Aggregate columns for a spec; ``scope``, a SQL condition, limits them to some rows."""
+    out = []
+    for c, functions in spec.items():
+        value = f"`{c}`" if scope is None else f"CASE WHEN {scope} THEN `{c}` END"
+        for f in functions:
+            out.append(F.expr(f"{FUNCTIONS[f](value, scope)} AS `{aggregate_name(prefix, c, f)}`"))
+    return out
+
+
+def category_flags(categories: Mapping[str, Sequence], null_flag: bool = True) -> dict[str, str]:
+    """SQL of a 0/1 flag per category value, by flag name."""
+    out = {}
+    for c, values in categories.items():
+        for v in values:
+            out[f"{c}_{safe_name(v)}"] = f"CASE WHEN `{c}` = {sql_text(v)} THEN 1 ELSE 0 END"
+        if null_flag:
+            out[f"{c}_nan"] = f"CASE WHEN `{c}` IS NULL THEN 1 ELSE 0 END"
+    return dict(zip(distinct_names(list(out)), out.values()))
+
+
+def flag_measures(
+    flags: Mapping[str, str], functions: Iterable[str], prefix: str = ""
+) -> list[Column]:
+    """Aggregates of flags, without flag columns in between."""
     return [
-        FUNCTIONS[f](F.col(c), scope).alias(aggregate_name(prefix, c, f))
-        for c, functions in spec.items()
+        F.expr(f"{FUNCTIONS[f](flag, None)} AS `{aggregate_name(prefix, name, f)}`")
+        for name, flag in flags.items()
         for f in functions
     ]
 
 
-def category_shares(
-    categories: Mapping[str, Sequence], prefix: str = "", null_share: bool = True
-) -> list[Column]:
-    """Share of each category value per group, without one-hot columns in between."""
-    out = []
-    for c, values in categories.items():
-        for v in values:
-            name = aggregate_name(prefix, f"{c}_{safe_name(v)}", "mean")
-            out.append(F.avg(matches(c, v)).alias(name))
-        if null_share:
-            name = aggregate_name(prefix, f"{c}_nan", "mean")
-            out.append(F.avg(F.col(c).isNull().cast("int")).alias(name))
-    return out
+def category_shares(categories: Mapping[str, Sequence], prefix: str = "") -> list[Column]:
+    """Share of each category value, and of NULL, per group."""
+    return flag_measures(category_flags(categories), ["mean"], prefix)
 
 
 def conditional_share(condition: Column) -> Column:
@@ -138,15 +154,18 @@ class Lookbacks:
         return df.withColumn(LOOKBACK, F.explode(numbers))
 
     def widen(self, long: DataFrame, key: str) -> DataFrame:
-        """From one row per key and window to one row per key."""
+        """From one row per key and window to one row per key.
+
+        A key has at most one row per window; they are gathered in a map and
+        unfolded, which takes one expression per window instead of per column.
+        """
         names = [c for c in long.columns if c not in (key, LOOKBACK)]
-        return long.groupBy(key).agg(
-            *[
-                F.max(F.when(F.col(LOOKBACK) == i, F.col(c))).alias(c + suffix)
-                for i, suffix in enumerate(self.suffixes)
-                for c in names
-            ]
-        )
+        row = F.struct(F.col(LOOKBACK), F.struct(*names))
+        windows = range(len(self.windows))
+        gathered = long.groupBy(key).agg(F.map_from_entries(F.collect_list(row)).alias("_rows"))
+        parts = gathered.select(key, *[F.element_at("_rows", F.lit(i)).alias(f"_{i}") for i in windows])
+        flat = parts.select(key, *[f"_{i}.*" for i in windows])
+        return flat.toDF(key, *[c + suffix for suffix in self.suffixes for c in names])
 
 
 # The look-back windows and their column suffixes.

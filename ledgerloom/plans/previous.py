@@ -84,7 +84,7 @@ def client_measures(categories: Mapping[str, Sequence[str]]) -> list[Column]:
 
 def scoped_measures() -> list[Column]:
     """The ``cs_app_`` and ``cs_ref_`` figures over approved and refused ones."""
-    return [m for p, s in SCOPES.items() for m in measures(AGGREGATES, p, F.col(STATUS) == s)]
+    return [m for p, s in SCOPES.items() for m in measures(AGGREGATES, p, f"{STATUS} = '{s}'")]
 
 
 def fit_previous(previous: DataFrame) -> dict[str, list[str]]:
