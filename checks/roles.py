@@ -14,7 +14,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events", "labels"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels"]
 TODAY = "DATE '2001-08-01'"
 EVENT_TODAY = "DATE '2024-01-31'"
 

@@ -73,8 +73,8 @@ def most_frequent(df: DataFrame, name: str) -> DataFrame:
     return (
         df.where(F.col(name).isNotNull())
         .groupBy(name)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), F.asc(name))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .orderBy(F.desc("_rows"), F.asc(name))
         .limit(1)
         .select(name)
     )

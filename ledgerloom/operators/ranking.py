@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,7 +33,12 @@ def distinct_values(df: DataFrame, name: str) -> DataFrame:
     return df.select(name).distinct()
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """Row number within a group, for groups known to be small (one loan's months)."""
-    window = Window.partitionBy(*keys).orderBy(*[F.asc(c) for c in order])
-    return df.withColumn(name, F.row_number().over(window))
+def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each group in the given order.
+
+    What ``row_number() = 1`` gives, as an aggregate that merges before the
+    shuffle instead of a sort of the whole group in one task.
+    """
+    row = F.struct(*df.columns)
+    rank = F.struct(*order, *[c for c in df.columns if c not in order])
+    return df.groupBy(*keys).agg(F.min_by(row, rank).alias("_row")).select("_row.*")
