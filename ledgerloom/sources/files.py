@@ -58,7 +58,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     It lies under the shared folder named by ``spark.checkpoint.dir``; a local
     folder is used only where that is unset and the session runs in one process.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
