@@ -65,7 +65,9 @@ def query(name: str, sql: str | None = None, round_: Sequence[str] = (), digits:
             return digits
         if "_amt_" in name or "_days_" in name:
             return 4
-        return 6 if "_months_" in name or "_mature_" in name else digits
+        if "_months_" in name or "_mature_" in name:
+            return 6
+        return 11 if any(r in name for r in ("limit_use", "_div_min", "limit_ratio")) else 7
 
     places = {c: places_of(c) for c in round_}
 

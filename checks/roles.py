@@ -14,6 +14,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.sources import spread
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels"]
 TODAY = "DATE '2001-08-01'"
 EVENT_TODAY = "DATE '2024-01-31'"
@@ -278,6 +280,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def role(spark: SparkSession, folder: str, name: str) -> DataFrame:
     text = role_sql(True)[name]
     used = {t: table(spark, folder, t) for t in TABLES if f"{{{t}}}" in text}
+    facts = [t for t in ("lineitem", "orders", "events") if t in used][:1]
+    used |= {t: spread(used[t]) for t in facts}
     return spark.sql(text, **used)
 
 

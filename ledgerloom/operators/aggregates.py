@@ -153,19 +153,54 @@ class Lookbacks:
         numbers = F.when(n > 0, F.sequence(F.lit(0), n - 1))
         return df.withColumn(LOOKBACK, F.explode(numbers))
 
-    def widen(self, long: DataFrame, key: str) -> DataFrame:
-        """From one row per key and window to one row per key.
+    def gather(self, long: DataFrame, key: str) -> "Gathered":
+        """From one row per key and window to one row per key, still nested.
 
-        A key has at most one row per window; they are gathered in a map and
-        unfolded, which takes one expression per window instead of per column.
+        A key has at most one row per window; they are kept in a map.
         """
-        names = [c for c in long.columns if c not in (key, LOOKBACK)]
+        names = tuple(c for c in long.columns if c not in (key, LOOKBACK))
         row = F.struct(F.col(LOOKBACK), F.struct(*names))
-        windows = range(len(self.windows))
-        gathered = long.groupBy(key).agg(F.map_from_entries(F.collect_list(row)).alias("_rows"))
-        parts = gathered.select(key, *[F.element_at("_rows", F.lit(i)).alias(f"_{i}") for i in windows])
-        flat = parts.select(key, *[f"_{i}.*" for i in windows])
-        return flat.toDF(key, *[c + suffix for suffix in self.suffixes for c in names])
+        rows = F.map_from_entries(F.collect_list(row)).alias("_rows")
+        return Gathered(long.groupBy(key).agg(rows), key, names, tuple(self.suffixes))
+
+    def widen(self, long: DataFrame, key: str) -> DataFrame:
+        """The same, unfolded into one column per figure and window."""
+        return self.gather(long, key).unfold()
+
+
+@dataclass(frozen=True)
+class Gathered:
+    """Figures by window in the map column ``_rows``, one row per key.
+
+    Nested, a table of a thousand figures is one column: joins and sorts move it
+    as a whole, and only the last projection of a plan is wide.
+    """
+
+    table: DataFrame
+    key: str
+    names: tuple[str, ...]
+    suffixes: tuple[str, ...]
+
+    def unfold(self) -> DataFrame:
+        return unfold(self.table, [self.key], [self])
+
+
+def unfold(df: DataFrame, keep: Sequence[str], parts: Sequence[Gathered]) -> DataFrame:
+    """Columns ``keep`` and the figures of gathered tables joined to ``df``.
+
+    With several parts their map columns are ``_rows_0``, ``_rows_1`` and so on.
+    """
+    maps = ["_rows"] if len(parts) == 1 and "_rows" in df.columns else [
+        f"_rows_{i}" for i in range(len(parts))
+    ]
+    picked, names = [], list(keep)
+    for column, part in zip(maps, parts):
+        for i, suffix in enumerate(part.suffixes):
+            picked.append(F.element_at(column, F.lit(i)).alias(f"{column}_{i}"))
+            names += [c + suffix for c in part.names]
+    nested = df.select(*keep, *picked)
+    wide = nested.select(*keep, *[f"{c}.*" for c in nested.columns[len(keep):]])
+    return wide.toDF(*names)
 
 
 # The look-back windows and their column suffixes.

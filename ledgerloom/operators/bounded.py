@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MAX_ROWS = 10_000
 
 
 def checked_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The same rows as a literal relation if there are at most ``max_rows``.
+    """The same rows, counted, computed once and marked for broadcast.
 
-    Spark then knows the size and broadcasts it in a join.  A larger table comes
-    back as it is, and its join is planned (and if need be skew-split) as usual.
+    If there turn out to be more than ``max_rows`` the table comes back as it
+    is, and its join is planned (and if need be skew-split) as any other.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -12,6 +12,7 @@ from ledgerloom.functions import ratio
 from ledgerloom.operators.aggregates import (
     DAY_WINDOWS,
     LOOKBACK,
+    Gathered,
     Lookbacks,
     category_shares,
     measures,
@@ -100,11 +101,21 @@ def per_client(
     )
 
 
+def gather_previous(
+    previous: DataFrame,
+    categories: Mapping[str, Sequence[str]],
+    lookbacks: Lookbacks = LOOKBACKS,
+) -> Gathered:
+    """The figures of every look-back window, nested."""
+    return lookbacks.gather(
+        per_client(lookbacks.expand(previous), categories, (CLIENT, LOOKBACK)), CLIENT
+    )
+
+
 def previous_features(
     previous: DataFrame,
     categories: Mapping[str, Sequence[str]],
     lookbacks: Lookbacks = LOOKBACKS,
 ) -> DataFrame:
     """One row per client with the figures of every look-back window."""
-    long = per_client(lookbacks.expand(previous), categories, (CLIENT, LOOKBACK))
-    return lookbacks.widen(long, CLIENT)
+    return gather_previous(previous, categories, lookbacks).unfold()
