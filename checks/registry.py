@@ -32,8 +32,8 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.folder, name)
 
-    def role(self, name: str) -> DataFrame:
-        return role(self.spark, self.folder, name)
+    def role(self, name: str, dealt: bool = False) -> DataFrame:
+        return role(self.spark, self.folder, name, dealt)
 
     def star(self, *names: str) -> list[DataFrame]:
         out = []
@@ -63,11 +63,13 @@ def query(name: str, sql: str | None = None, round_: Sequence[str] = (), digits:
     def places_of(name: str) -> int:
         if "_var" not in name:
             return digits
-        if "_amt_" in name or "_days_" in name:
+        if name.startswith("cents"):
+            return 2
+        if "_days_" in name:
             return 4
-        if "_months_" in name or "_mature_" in name:
-            return 6
-        return 11 if any(r in name for r in ("limit_use", "_div_min", "limit_ratio")) else 7
+        if "_amt_" in name:
+            return 5
+        return 11 if any(r in name for r in ("limit_use", "_div_min", "limit_ratio")) else 6
 
     places = {c: places_of(c) for c in round_}
 

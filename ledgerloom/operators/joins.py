@@ -25,9 +25,9 @@ def attach_group_stats(
     """
     keys, names = list(keys), list(stats)
     grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[e.alias(n) for n, e in stats.items()]
+        *[e.alias(n) for n, e in stats.items()], F.count(F.lit(1)).alias("_rows")
     )
-    bound = grouped.agg(F.sum("_rows") * F.lit(hot_share)).scalar()
+    bound = df.agg(F.count(F.lit(1)) * F.lit(hot_share)).scalar()
     hot = grouped.where(F.col("_rows") > bound).select(
         *keys, F.lit(True).alias("_hot"), *[F.col(n).alias(f"_hot_{n}") for n in names]
     )
@@ -36,7 +36,9 @@ def attach_group_stats(
         "_salt",
         F.when(F.col("_hot"), F.pmod(row_hash, F.lit(SALTS)) + 1).otherwise(0).cast("bigint"),
     )
-    cold = grouped.select(*keys, *names, F.lit(0).cast("bigint").alias("_salt"))
+    # Reading the row count here too lets both uses of the aggregate share one shuffle.
+    no_salt = F.when(F.col("_rows") > 0, 0).cast("bigint").alias("_salt")
+    cold = grouped.select(*keys, *names, no_salt)
     return dealt.join(cold, [*keys, "_salt"], "left").select(
         *[F.col(c) for c in df.columns],
         *[F.when(F.col("_hot"), F.col(f"_hot_{n}")).otherwise(F.col(n)).alias(n) for n in names],
