@@ -46,9 +46,8 @@ def test_csv(spark, tmp_path):
 class Cluster:
     """A session stand-in: only its settings are asked for."""
 
-    master = "spark://somewhere"
-
-    def __init__(self, **settings):
+    def __init__(self, master="spark://somewhere", **settings):
+        self.master = master
         self.settings = settings
         self.sparkContext = self
 
@@ -56,12 +55,12 @@ class Cluster:
         return {k.replace("__", "."): v for k, v in self.settings.items()}
 
 
-def test_scratch_follows_the_session(spark):
+def test_scratch_follows_the_session():
     shared = Cluster(spark__checkpoint__dir="s3://shared/tmp/")
     assert scratch_folder(shared, "x").startswith("s3://shared/tmp/x-")
     with pytest.raises(ValueError):
         scratch_folder(Cluster(), "x")
-    assert scratch_folder(spark, "x").startswith("/tmp/run-")
+    assert scratch_folder(Cluster("local[4]"), "x").startswith("/tmp/run-")
 
 
 def test_raw_tables():
