@@ -88,7 +88,7 @@ def test_encoder_gives_train_and_test_the_same_columns(data):
     assert set(tuple(r) for r in b.select(*seen).collect()) == {(0,) * len(seen)}
 
 
-def test_mart_has_one_row_per_applicant_and_one_scan_of_them(data):
+def test_mart_has_one_row_per_applicant_and_unique_columns(data):
     cleaned = application.clean_application(data.role("applicant"))
     fitted = mart.MartEncoder.fit(cleaned, sources(data))
     out = mart.feature_mart(cleaned, sources(data), fitted)
