@@ -30,6 +30,8 @@ from ledgerloom.llm.shared import pieces_of, same, share, shared_value
 
 BUCKETS, DIMS, NONZERO = 4096, 32, 4
 MEMORY = 400_000
+#: Characters whose token vectors are in memory at once.
+PART = 500_000
 
 
 def index_vectors() -> np.ndarray:
@@ -126,19 +128,17 @@ def document_vectors(texts: list[str], tokens: Tokens, vectors: np.ndarray) -> n
     """Mean and spread of the token vectors, log of the length, and the share of distinct words."""
     ids, sizes, distinct = tokens.batch(texts)
     out = np.zeros((len(texts), 2 * DIMS + 2))
-    at = 0
-    for i, n in enumerate(sizes.tolist()):
-        if n:
-            seen = np.bincount(ids[at : at + n], minlength=1)
-            used = np.flatnonzero(seen)
-            share = seen[used] / n
-            own = vectors[used]
-            mean = share @ own
-            out[i, :DIMS] = mean
-            out[i, DIMS : 2 * DIMS] = np.sqrt(np.maximum(share @ (own * own) - mean * mean, 0))
-            out[i, 2 * DIMS] = np.log1p(n)
-            out[i, 2 * DIMS + 1] = distinct[i] / n
-        at += n
+    some = np.flatnonzero(sizes)
+    if len(some):
+        n = sizes[some]
+        starts = np.cumsum(n) - n
+        seen = vectors[ids]
+        mean = np.add.reduceat(seen, starts, axis=0, dtype=float) / n[:, None]
+        square = np.add.reduceat(seen * seen, starts, axis=0, dtype=float) / n[:, None]
+        out[some, :DIMS] = mean
+        out[some, DIMS : 2 * DIMS] = np.sqrt(np.maximum(square - mean * mean, 0))
+        out[some, 2 * DIMS] = np.log1p(n)
+        out[some, 2 * DIMS + 1] = distinct[some] / n
     return out
 
 
@@ -184,8 +184,8 @@ def train(x: np.ndarray, y: np.ndarray, vectors: np.ndarray, hidden: int = 32, e
     for epoch in range(epochs):
         order = rng.permutation(len(z))
         rate = 3e-3 * (1 - epoch / epochs) + 1e-4
-        for a in range(0, len(z), 128):
-            rows = order[a : a + 128]
+        for a in range(0, len(z), 256):
+            rows = order[a : a + 256]
             h = np.tanh(z[rows] @ p[0] + p[1])
             out = h @ p[2] + p[3][0]
             error = (1 / (1 + np.exp(-np.clip(out, -30, 30))) - t[rows]) / len(rows)
@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labelled: DataFrame, label: str = "quality", sample: in
     def pooled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens, vectors_ = Tokens(), shared_value(shared)
         for batch in batches:
-            rows = [r for part in pieces_of(batch) for r in document_vectors(part, tokens, vectors_)]
+            rows = [r for part in pieces_of(batch, PART) for r in document_vectors(part, tokens, vectors_)]
             yield pa.array(rows, pa.list_(pa.float64()))
 
     rows = (
@@ -246,7 +246,7 @@ def score(docs: DataFrame, net: Network, name: str = "quality") -> DataFrame:
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens, model = Tokens(), shared_value(shared)
         for batch in batches:
-            out = [model.probabilities(document_vectors(p, tokens, model.vectors)) for p in pieces_of(batch)]
+            out = [model.probabilities(document_vectors(p, tokens, model.vectors)) for p in pieces_of(batch, PART)]
             yield pa.array(np.concatenate(out) if out else [], pa.float64())
 
     return docs.withColumn(name, scored("text"))
