@@ -67,10 +67,11 @@ class Tokens:
             self.of_word.clear()
         look_up, sizes, distinct, flat = self.of_word, [], [], []
         for words in parted:
-            new = set(words)
-            distinct.append(len(new))
-            for w in new - look_up.keys():
-                look_up[w] = self.buckets(w)
+            own = set(words)
+            distinct.append(len(own))
+            for w in own:
+                if w not in look_up:
+                    look_up[w] = self.buckets(w)
             ids = list(chain.from_iterable(map(look_up.__getitem__, words)))
             sizes.append(len(ids))
             flat += ids
