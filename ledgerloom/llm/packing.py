@@ -16,6 +16,7 @@ id sorts first, other columns are ignored, an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import json
 import zlib
 from collections.abc import Iterator
@@ -92,11 +93,11 @@ class BulkEncoder:
         ends = np.cumsum(sizes) - 1
         ids[ends] = self.last[data[ends]]
         word = np.repeat(np.arange(len(words)), sizes)
+        rank = np.full(len(ids), NONE, np.int64)
+        inside = np.flatnonzero(word[:-1] == word[1:])
+        rank[inside] = self.rank(ids[inside], ids[inside + 1])
         done_ids, done_words = [], []
         while len(ids):
-            rank = np.full(len(ids), NONE, np.int64)
-            inside = np.flatnonzero(word[:-1] == word[1:])
-            rank[inside] = self.rank(ids[inside], ids[inside + 1])
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             best = np.minimum.reduceat(rank << 31 | np.arange(len(ids)), starts)
             lowest, at = best >> 31, best & ((1 << 31) - 1)
@@ -107,7 +108,14 @@ class BulkEncoder:
             at = at[~over]
             ids[at] = self.made[lowest[~over]]
             keep[at + 1] = False
-            ids, word = ids[keep], word[keep]
+            at = np.cumsum(keep)[at] - 1
+            ids, word, rank = ids[keep], word[keep], rank[keep]
+            # Only the pairs on both sides of a new symbol have changed.
+            changed = np.concatenate([at, at[at > 0] - 1])
+            rank[changed] = NONE
+            changed = changed[changed + 1 < len(ids)]
+            changed = changed[word[changed] == word[changed + 1]]
+            rank[changed] = self.rank(ids[changed], ids[changed + 1])
         ids, word = np.concatenate(done_ids), np.concatenate(done_words)
         order = np.argsort(word, kind="stable")
         flat = ids[order].astype("<u2").tobytes()
@@ -146,6 +154,7 @@ def tokenized(docs: DataFrame, file: str) -> DataFrame:
     shared = share(docs.sparkSession, BulkEncoder, file)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # very many live strings and no cycle among them
         encoder = shared_value(shared)
         closing = CLOSING_ID.to_bytes(2, "little")
         marks = np.random.default_rng(11).permutation(encoder.size).astype(np.int64)
