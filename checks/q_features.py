@@ -260,7 +260,7 @@ PREV_WIDE_NAMES = [n + s for s, _ in fs.DAYS for n in fs.names_of(fs.prev_items(
 query("fep4_lookbacks", fs.PREV_WIDE, round_=_prev_inexact(PREV_WIDE_NAMES))(
     lambda d: previous.previous_features(
         *(lambda p: (previous.clean_previous(p), previous.fit_previous(p)))(
-            d.role("previous", dealt=True))
+            d.role("previous"))
     )
 )
 
@@ -274,7 +274,7 @@ _sql, _ = fs.pos_loan_sql("pos")
 query("fec2_loan_figures", _sql, round_=fs.POS_INEXACT)(lambda d: pos.loans_per_client(d.role("pos")))
 query("fec3_lookbacks", fs.POS_WIDE,
       round_=[n + s for s, _ in fs.MONTHS for n in fs.POS_INEXACT])(
-    lambda d: pos.pos_features(d.role("pos", dealt=True), pos.fit_pos(d.role("pos")))
+    lambda d: pos.pos_features(d.role("pos"), pos.fit_pos(d.role("pos")))
 )
 
 # --- instalments -----------------------------------------------------------------------------
@@ -314,7 +314,7 @@ query("fei5_client_figures_from_rows", fs.ins_sql(f"({fs.INS_CLEAN})")[0])(
     )
 )
 query("fei6_lookbacks", fs.INS_WIDE)(
-    lambda d: instalments.instalment_features(d.role("instalments", dealt=True))
+    lambda d: instalments.instalment_features(d.role("instalments"))
 )
 
 # --- card ---------------------------------------------------------------------------------------
@@ -327,7 +327,7 @@ query("fek2_client_figures", fs.card_sql("card")[0], round_=fs.CARD_INEXACT)(
 )
 CARD_WIDE_INEXACT = [n + s for s, _ in fs.MONTHS for n in fs.CARD_INEXACT]
 query("fek3_lookbacks", fs.CARD_WIDE, round_=CARD_WIDE_INEXACT)(
-    lambda d: card.card_features(d.role("card", dealt=True), card.fit_card(d.role("card")))
+    lambda d: card.card_features(d.role("card"), card.fit_card(d.role("card")))
 )
 
 # --- everything ------------------------------------------------------------------------------------
@@ -349,7 +349,7 @@ MART_INEXACT = (
 
 
 def sources(d) -> mart.Sources:
-    return mart.Sources(*[d.role(r, dealt=True) for r in (
+    return mart.Sources(*[d.role(r) for r in (
         "bureau", "bureau_balance", "previous", "pos", "instalments", "card")])
 
 

@@ -98,27 +98,23 @@ def conditional_share(condition: Column) -> Column:
 # --- ordered first and last ------------------------------------------------
 
 
-def _packed(order: str, value: str) -> Column:
-    high = F.shiftleft(F.col(order).cast("bigint"), 32)
-    return F.when(F.col(value).isNotNull(), high + F.col(value).cast("bigint") + F.lit(2**31))
-
-
-def _value_of(packed: Column) -> Column:
-    return (packed.bitwiseAND(F.lit(2**32 - 1)) - F.lit(2**31)).cast("int")
+def _known(value: str, order: str) -> Column:
+    pair = F.struct(F.col(order).alias("order"), F.col(value).alias("value"))
+    return F.when(F.col(value).isNotNull(), pair)
 
 
 def first_known(value: str, order: str) -> Column:
-    """First non-null value of an integer column in the order of another.
+    """First non-null value in the order of another column, in its own type.
 
-    Order and value travel as one number, so this is a plain ``min`` that merges
-    before the shuffle and needs no sort; on a tie the smallest value wins.
+    A minimum over (order, value), which merges before the shuffle; on a tie the
+    smallest value wins.
     """
-    return _value_of(F.min(_packed(order, value)))
+    return F.min(_known(value, order)).getField("value")
 
 
 def last_known(value: str, order: str) -> Column:
     """Last non-null value; on a tie the largest one wins."""
-    return _value_of(F.max(_packed(order, value)))
+    return F.max(_known(value, order)).getField("value")
 
 
 # --- look-back windows -------------------------------------------------------
@@ -134,6 +130,11 @@ class Lookbacks:
     offset: str
     windows: tuple[tuple[str, int | None], ...]
 
+    def __post_init__(self) -> None:
+        reaches = [float("inf") if reach is None else reach for _, reach in self.windows]
+        if any(a <= b for a, b in zip(reaches, reaches[1:])):
+            raise ValueError("windows must be nested, widest first")
+
     @property
     def suffixes(self) -> list[str]:
         return [suffix for suffix, _ in self.windows]
@@ -142,8 +143,8 @@ class Lookbacks:
         """One copy of a row per window it lies in, numbered in ``lookback``.
 
         The windows are nested, so their number is a count of comparisons.  The
-        copies never reach the network: they are merged by the partial
-        aggregation that follows.
+        partial aggregation that follows merges the copies of a key that are in
+        one input task; copies in different tasks are shuffled.
         """
         inside = [
             F.lit(1) if reach is None else F.when(F.col(self.offset) >= -reach, 1).otherwise(0)

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.bounded import checked_small
-
-SALTS = 256
-
 
 def attach_group_stats(
     df: DataFrame, keys: Sequence[str], stats: dict[str, Column], hot_share: float = 0.001
@@ -20,8 +18,8 @@ def attach_group_stats(
     A window over the group would sort it in one task; here the groups are
     pre-aggregated and joined back.  Groups with more than ``hot_share`` of all
     rows, at most ``1 / hot_share`` of them for any data, are looked up by
-    broadcast, and their rows are dealt out over the tasks of the second join
-    instead of all landing in one.
+    broadcast, and their rows, like those with a NULL key, are dealt out over the
+    tasks of the second join instead of all landing in one.
     """
     keys, names = list(keys), list(stats)
     grouped = df.groupBy(*keys).agg(
@@ -31,10 +29,12 @@ def attach_group_stats(
     hot = grouped.where(F.col("_rows") > bound).select(
         *keys, F.lit(True).alias("_hot"), *[F.col(n).alias(f"_hot_{n}") for n in names]
     )
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    # By input task too, so that equal rows do not all meet.
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    unknown = reduce(or_, [F.col(k).isNull() for k in keys])
     dealt = df.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(row_hash, F.lit(SALTS)) + 1).otherwise(0).cast("bigint"),
+        F.when(F.col("_hot") | unknown, row_hash).otherwise(0).cast("bigint"),
     )
     # Reading the row count here too lets both uses of the aggregate share one shuffle.
     no_salt = F.when(F.col("_rows") > 0, 0).cast("bigint").alias("_salt")
@@ -48,7 +48,7 @@ def attach_group_stats(
 def attach_category_stat(df: DataFrame, category: str, stat: Column, name: str) -> DataFrame:
     """Left join of one statistic per category; an unknown category has none."""
     found = df.where(F.col(category).isNotNull()).groupBy(category).agg(stat.alias(name))
-    return df.join(checked_small(found), category, "left")
+    return df.join(found, category, "left")
 
 
 def outer_total(left: DataFrame, right: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:

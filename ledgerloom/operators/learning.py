@@ -89,7 +89,7 @@ def tune_model(
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=ParamGridBuilder().addGrid(svc.regParam, list(reg_params)).build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
+        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0),
         numFolds=folds,
         seed=7,
     )
@@ -117,6 +117,6 @@ def log_loss(df: DataFrame, label: str, probability: str, eps: float = 1e-15) ->
 def judge(df: DataFrame, label: str, probability: str = "prediction_score") -> DataFrame:
     """One row with hold-out AUC and log-loss."""
     auc = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=probability, metricName="areaUnderROC"
+        labelCol=label, rawPredictionCol=probability, metricName="areaUnderROC", numBins=0
     ).evaluate(df.select(F.col(label).cast("double"), probability))
     return log_loss(df, label, probability).select(F.lit(auc).alias("auc"), "logloss")

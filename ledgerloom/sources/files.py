@@ -34,17 +34,6 @@ def read_csv_head(
     return read_csv(spark, path, schema).limit(n)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out over all cores if it has fewer tasks than that.
-
-    A file with one row group is read by one task, whatever its size.  Scans of
-    larger tables have more tasks than there are cores and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if tasks < cores else df
-
-
 def export_csv(df: DataFrame, path: str, sep: str = ",", n_files: int | None = None) -> None:
     """CSV with a header line in every file.
 

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,28 @@ def test_first_and_last_known(spark):
     assert [(r["f"], r["l"]) for r in out] == [(5, 9), (None, None), (-4, -4)]
 
 
+def test_first_and_last_known_keep_their_type(spark):
+    data = [(1, 1, 3_000_000_000, 2.75), (1, 2, 5, -5.5), (1, 2, -7, None)]
+    df = spark.createDataFrame(data, "id int, m int, b bigint, x double")
+    out = df.groupBy("id").agg(
+        *[f(c, "m").alias(n + c) for c in "bx" for n, f in (("f", ag.first_known), ("l", ag.last_known))]
+    )
+    assert tuple(out.first()) == (1, 3_000_000_000, 5, 2.75, -5.5)
+    assert [t for _, t in out.dtypes[1:]] == ["bigint", "bigint", "double", "double"]
+
+
+def test_lookbacks_refuse_windows_out_of_order():
+    with pytest.raises(ValueError):
+        ag.Lookbacks("d", (("_week", 7), ("", None)))
+
+
+def test_group_stats_deal_out_null_keys(spark):
+    df = spark.range(20_000, numPartitions=8).select(F.when(F.col("id") % 2 == 0, F.col("id") % 50).alias("k"), "id")
+    out = attach_group_stats(df, ["k"], {"n": F.count("id")})
+    spread = out.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert out.count() == 20_000 and spread[0] < 2 * 20_000 / spread[1]
+
+
 def test_lookbacks_equal_one_filter_per_window(spark):
     rnd = random.Random(3)
     data = [
