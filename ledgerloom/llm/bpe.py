@@ -20,14 +20,16 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
-import unicodedata
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex
+from tokenizers.pre_tokenizers import Split
 
 from ledgerloom.llm.shared import pieces_of, share, shared_value
 
@@ -80,7 +82,7 @@ class Encoder:
         self.special_pattern = None
         if self.special:
             self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.words_of = regex.compile(WORD).findall
+        self.words_of = word_splitter()
         self.may_follow: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.chunks: dict[str, tuple[int, ...]] = {}
@@ -223,6 +225,27 @@ class Encoder:
         return " ".join([names[i] for i in ids if i in names])
 
 
+def word_splitter() -> Callable[[str], list[str]]:
+    """Splits a chunk into words.
+
+    Letters and digits of younger Unicode versions than the tokenizers library knows
+    are other signs to it; which ones those are is asked of its own patterns.
+    """
+    pattern = regex.compile(WORD)
+    every = "".join(map(chr, chain(range(128, 0xD800), range(0xE000, 0x110000))))
+    new = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
+    left = Split(Regex(r"[\p{L}\p{N}]"), "removed").pre_tokenize_str(new)
+    young = frozenset("".join([piece for piece, _ in left]))
+
+    def words_of(chunk: str) -> list[str]:
+        if chunk.isascii() or young.isdisjoint(chunk):
+            return pattern.findall(chunk)
+        masked = "".join(["\ue000" if c in young else c for c in chunk])
+        return [chunk[m.start() : m.end()] for m in pattern.finditer(masked)]
+
+    return words_of
+
+
 def _chunks(text: str) -> list[str]:
     if not text.isascii():
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ")

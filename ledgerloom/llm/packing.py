@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import END, WORD, _chunks, byte_letters
+from ledgerloom.llm.bpe import END, _chunks, byte_letters, word_splitter
 from ledgerloom.llm.shared import pieces_of, same, share, shared_value, stored
 
 WINDOW, CLOSING_ID = 2048, 1
@@ -62,7 +62,7 @@ class BulkEncoder:
             self.slots[at], self.ranks[at] = key, rank
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.words_of = regex.compile(WORD).findall
+        self.words_of = word_splitter()
         self.chunks: dict[str, bytes] = {}
 
     @staticmethod
