@@ -110,10 +110,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op9_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS q
+            SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), pairs AS (
             SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
                    list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
