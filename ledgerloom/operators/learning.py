@@ -13,7 +13,6 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.bounded import checked_small
 from ledgerloom.operators.columns import align_columns
 from ledgerloom.operators.quantiles import exact_quantiles
 
@@ -44,7 +43,7 @@ def stratified_split(
     bounds = exact_quantiles(marked, "_mark", [share], [label]).select(
         label, F.col("value").alias("_bound")
     )
-    sided = marked.join(checked_small(bounds), label)
+    sided = marked.join(bounds, label)
     left = F.col("_mark") <= F.col("_bound")
     return tuple(sided.where(c).select(*df.columns) for c in (left, ~left))
 

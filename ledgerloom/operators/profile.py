@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import ratio
-from ledgerloom.operators.bounded import checked_small
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranking import frequencies
 
@@ -107,7 +106,6 @@ def box_stats(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
             for n, p in (("q1", 0.25), ("med", 0.5), ("q3", 0.75))
         ]
     )
-    boxes = checked_small(boxes)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     # Values are counted first, so a hot group does not meet the join row by row.
     counted = (
