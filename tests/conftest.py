@@ -21,8 +21,3 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
-
-
-def rows(df, *order):
-    out = [r.asDict() for r in df.collect()]
-    return sorted(out, key=lambda r: [str(r[c]) for c in (order or df.columns)])

@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
 from ledgerloom.operators import aggregates as ag
 from ledgerloom.operators.joins import attach_category_stat, attach_group_stats
 from ledgerloom.operators.ranking import first_row
+from tables import rows
 
 
 def test_scope_without_rows_is_null_but_unknown_sum_is_zero(spark):

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
 from ledgerloom.operators import cleaning
+from tables import rows
 
 
 def test_null_where(spark):

@@ -3,9 +3,9 @@ from pyspark.sql import functions as F
 
 from checks.q_features import sources
 from checks.registry import Data
-from conftest import rows
 from ledgerloom.operators.aggregates import Lookbacks
 from ledgerloom.plans import application, instalments, mart, pos, previous
+from tables import rows
 
 SMALL = "/root/testdata/sf0.001"
 

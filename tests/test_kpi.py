@@ -6,8 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from ledgerloom.plans import kpi, star
+from tables import rows
 
 DATED = ["sk_id_curr", "application_date_id"]
 

@@ -18,7 +18,8 @@ LONG = ("pipe1", "ml", "fem1", "fep4", "fek3")
 
 
 def test_every_inventory_row_has_a_query():
-    have = {re.match(r"[a-z]+\d+", name).group() for name in entry.queries()}
+    # The pipeline and the corpus operators are no inventory rows.
+    have = {m.group() for name in entry.queries() if (m := re.match(r"[a-z]+\d+", name))}
     want = {f"{family}{i}" for family, n in SIZES.items() for i in range(1, n + 1)}
     assert want - have == set()
     assert set(entry.oracle_sql()) <= set(entry.queries())
