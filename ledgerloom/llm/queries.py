@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     bpe,
     ctw,
+    divergence,
     language,
     packing,
     quality_net,
@@ -91,6 +92,10 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return ctw.score(docs, model, 10)
 
 
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_topk,
         op10_lm_scoring,
+        op13_source_divergence,
     )
 }
 
@@ -125,4 +131,41 @@ SQL: dict[str, str] = {
         FROM pairs
         QUALIFY rank <= 5
     """,
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), w AS (
+            SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+        ), c AS (
+            SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM w GROUP BY ALL
+        ), k AS (
+            SELECT lang, term, sum(n)::BIGINT AS total FROM c GROUP BY ALL HAVING sum(docs) >= 30
+        ), v AS (
+            SELECT lang, count(*) AS v, sum(total)::BIGINT AS total FROM k GROUP BY ALL
+        ), g AS (
+            SELECT DISTINCT lang, source FROM d
+        ), s AS (
+            SELECT lang, source, sum(n)::BIGINT AS size FROM c JOIN k USING (lang, term) GROUP BY ALL
+        ), p AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                   1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (coalesce(s.size, 0) + 5 * v.v) AS p,
+                   1 + 1000000000::HUGEINT * (k.total + 5) // (v.total + 5 * v.v) AS q
+            FROM g JOIN k USING (lang) JOIN v USING (lang)
+            LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+            LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+        ), f AS (
+            SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+            FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+        ), r AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q
+        )
+        SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+        FROM r QUALIFY part = 'pair' OR rank <= 50
+    """,
 }
