@@ -157,32 +157,38 @@ def risen(group: Runs, whole: Runs, terms: list[bytes], top: int) -> list[tuple[
     return sorted(found, key=lambda f: (-f[1], f[0]))[:top]
 
 
-def block_differences(lang: str, rows, groups, top: int) -> dict[str, list]:
-    """Differences of all pairs of groups over one block, and the risen terms of each group."""
-    places, first = np.unique(rows["place"].to_numpy(), return_index=True)
-    terms = [t.encode() for t in rows["term"].to_numpy()[first].tolist()]
+FOUND = pa.schema([*[(c, pa.string()) for c in ("lang", "part", "source", "item")], ("value", pa.int64())])
+
+
+def block_differences(lang: str, rows: pa.Table, groups: pa.Table, top: int) -> pa.Table:
+    """Differences of all pairs of groups over one block, and the risen terms of each group.
+
+    ``rows`` holds place, term, total, source and n of the counts above 0.
+    """
+    place, counts = (rows.column(c).to_numpy() for c in ("place", "n"))
+    places, first, place = np.unique(place, return_index=True, return_inverse=True)
     size = len(places)
-    place = np.searchsorted(places, rows["place"].to_numpy())
-    whole = Runs(np.arange(size), rows["total"].to_numpy()[first], int(groups["whole_n"].iloc[0]), int(groups["v"].iloc[0]))
-    by_source = {s: (place[i], rows["n"].to_numpy()[i]) for s, i in rows.groupby("source").indices.items()}
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    columns: list[tuple[str, Runs]] = []
-    for source, n, v in zip(groups["source"], groups["n"], groups["v"]):
-        at, counts = by_source.get(source, none)
-        order = np.argsort(at, kind="stable")
-        columns.append((source, Runs(at[order], counts[order], int(n), int(v))))
-    out: dict[str, list] = {"part": [], "source": [], "item": [], "value": []}
-
-    def put(part: str, source: str, item: str, value: int) -> None:
-        for name, x in zip(out, (part, source, item, value)):
-            out[name].append(x)
-
-    for i, (source, runs) in enumerate(columns):
+    taken = rows.select(["term", "total"]).take(pa.array(first))
+    terms = [t.encode() for t in taken.column("term").to_pylist()]
+    sizes = groups.to_pylist()
+    whole = Runs(np.arange(size), taken.column("total").to_numpy(), sizes[0]["whole_n"], sizes[0]["v"])
+
+    named = rows.column("source").combine_chunks().dictionary_encode()
+    source = named.indices.to_numpy()
+    order = np.lexsort((place, source))
+    edges = np.searchsorted(source[order], np.arange(len(named.dictionary) + 1))
+    of_source = {s: order[a:z] for s, a, z in zip(named.dictionary.to_pylist(), edges, edges[1:])}
+    columns = []
+    for group in sizes:
+        own = of_source.get(group["source"], order[:0])
+        columns.append((group["source"], Runs(place[own], counts[own], group["n"], group["v"])))
+
+    out = []
+    for i, (name, runs) in enumerate(columns):
         for other, others in columns[:i]:
-            put("pair", *sorted((source, other)), difference(runs, others, size))
-        for term, rise in risen(runs, whole, terms, top):
-            put("term", source, term.decode(), rise)
-    return {"lang": [lang] * len(out["part"])} | out
+            out.append(("pair", *sorted((name, other)), difference(runs, others, size)))
+        out += [("term", name, term.decode(), rise) for term, rise in risen(runs, whole, terms, top)]
+    return pa.Table.from_pylist([dict(zip(FOUND.names, (lang, *row))) for row in out], schema=FOUND)
 
 
 def audit(docs: DataFrame, least_docs: int = 30, top: int = 50) -> DataFrame:
@@ -240,16 +246,15 @@ def audit(docs: DataFrame, least_docs: int = 30, top: int = 50) -> DataFrame:
     blocks = blocks.select(*[F.col(c).alias(c) for c in blocks.columns])
     rows = placed.select("lang", "block", F.col("at").alias("place"), "term", "total", F.inline("entries")).drop("kinds")
 
-    def compare(key, rows, groups):
-        import pandas as pd
-
-        found = block_differences(key[0], rows, groups, top) if len(rows) and len(groups) else {}
-        return pd.DataFrame(found, columns=["lang", "part", "source", "item", "value"])
+    def compare(key, rows: pa.Table, groups: pa.Table) -> pa.Table:
+        if not rows.num_rows or not groups.num_rows:
+            return FOUND.empty_table()
+        return block_differences(key[0].as_py(), rows, groups, top)
 
     found = stored(
         rows.groupBy("lang", "block")
         .cogroup(blocks.groupBy("lang", "block"))
-        .applyInPandas(compare, "lang string, part string, source string, item string, value long")
+        .applyInArrow(compare, "lang string, part string, source string, item string, value long")
         .groupBy("lang", "part", "source", "item")
         .agg(F.sum("value").alias("value"))
     )

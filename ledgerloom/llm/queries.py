@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     bpe,
+    chat,
     ctw,
     divergence,
     language,
@@ -20,6 +21,7 @@ from ledgerloom.llm import (
     simhash,
     topk,
     toxicity,
+    whitening,
 )
 from ledgerloom.llm.shared import fold
 
@@ -92,6 +94,17 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return ctw.score(docs, model, 10)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    return chat.read_back(chat.windows(turns.union(more), public_tokenizers.path(VOCABULARY)))
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
@@ -109,6 +122,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_topk,
         op10_lm_scoring,
+        op11_whitening,
+        op12_chat_formatting,
         op13_source_divergence,
     )
 }
