@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.star_sql import DOCS
 from ledgerloom.operators import learning, profile
+from ledgerloom.sources import scratch_folder
+from ledgerloom.sources.models import ModelStore
 
 query("eda1_value_counts", """SELECT name_contract_type, count(*) AS total FROM application
     GROUP BY 1""")(lambda d: profile.value_counts(d.role("application"), "name_contract_type"))
@@ -129,12 +131,23 @@ def _people(d):
         "target", F.when(F.col("ext_source_2") < 0.3, 1).otherwise(F.col("target")))
 
 
-@query("ml1_stratified_split")
+PEOPLE = """people AS (SELECT * REPLACE (CASE WHEN ext_source_2 < 0.3 THEN 1 ELSE target END AS target),
+      ('0x' || substr(md5('1:' || sk_id_curr), 1, 13))::BIGINT AS mark FROM applicant)"""
+SIDES = f"""{PEOPLE}, bounds AS (SELECT target, quantile_cont(CAST(mark AS DOUBLE), 0.8) AS bound FROM people
+      WHERE target IS NOT NULL GROUP BY 1),
+    sides AS (SELECT people.*, CASE WHEN mark <= bound THEN 'train' ELSE 'held' END AS side
+      FROM people JOIN bounds USING (target))"""
+
+
+@query("ml1_stratified_split", f"WITH {SIDES} SELECT target, count(*) AS n, side FROM sides GROUP BY ALL")
 def _ml1(d):
-    train, held = learning.stratified_split(_people(d), "sk_id_curr", "target", 0.8, seed=1)
-    sides = [p.groupBy("target").agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(s))
-             for s, p in (("train", train), ("held", held))]
-    return sides[0].unionByName(sides[1])
+    sided = learning.stratified_sides(_people(d), "sk_id_curr", "target", 0.8, seed=1)
+    return sided.groupBy("target", "side").agg(F.count(F.lit(1)).alias("n"))
+
+
+query("ml1_held_rows", f"WITH {SIDES} SELECT sk_id_curr, target FROM sides WHERE side = 'held'")(
+    lambda d: learning.stratified_split(_people(d), "sk_id_curr", "target", 0.8, seed=1)[1]
+    .select("sk_id_curr", "target"))
 
 
 def _scored(d, learner):
@@ -147,6 +160,60 @@ query("ml2_score_logistic")(lambda d: _scored(d, "logistic"))
 query("ml2_score_boosted_trees")(lambda d: _scored(d, "boosted_trees"))
 
 
+@query("ml2_stored_model", f"""WITH {SIDES} SELECT name, 1 AS version, 9 AS n_features, count(*) AS n,
+    CAST(0 AS BIGINT) AS differing FROM sides, (SELECT unnest(['boosted_trees', 'logistic']) AS name)
+    WHERE side = 'held' GROUP BY ALL""")
+def _ml2_stored(d):
+    """Two models saved, found by name in a new store, scoring as in memory despite other columns."""
+    base = scratch_folder(d.spark, "ml2")
+    train, held = learning.stratified_split(_people(d), "sk_id_curr", "target", 0.8, seed=1)
+    out = []
+    for learner in ("boosted_trees", "logistic"):
+        model = learning.fit_model(train, FEATURES, "target", learner)
+        ModelStore(d.spark, base).save(learner, model, FEATURES, "target", {}, learner)
+        stored = ModelStore(d.spark, base).load(learner)
+        batch = held.select(F.lit("x").alias("unknown"), *reversed(FEATURES), "sk_id_curr")
+        both = learning.score(held, model, FEATURES, ["sk_id_curr"], "a").join(
+            stored.score(batch, ["sk_id_curr"], "b"), "sk_id_curr", "full")
+        out.append(both.agg(
+            F.lit(stored.name).alias("name"), F.lit(stored.version).alias("version"),
+            F.lit(len(stored.features)).alias("n_features"), F.count(F.lit(1)).alias("n"),
+            F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("differing")))
+    return out[0].unionByName(out[1])
+
+
+GRID = [1.0, 20.0, 400.0]
+CELLS = f"""{PEOPLE}, f AS (SELECT name_education_type AS c, target, CAST(mark % 3 AS INT) AS fold
+      FROM people WHERE target IS NOT NULL),
+    per AS (SELECT c, fold, count(*) FILTER (WHERE target = 1) AS h, count(*) AS n FROM f GROUP BY ALL),
+    every AS (SELECT fold, sum(h) AS h, sum(n) AS n FROM per GROUP BY 1),
+    prior AS (SELECT a.fold, CAST(sum(b.h) AS DOUBLE) / CAST(sum(b.n) AS DOUBLE) AS prior
+      FROM every a JOIN every b ON a.fold <> b.fold GROUP BY 1),
+    rates AS (SELECT k.c, prior.fold, prior, coalesce(sum(h), 0) AS h, coalesce(sum(n), 0) AS n
+      FROM (SELECT DISTINCT c FROM f) k CROSS JOIN prior
+      LEFT JOIN per ON per.c IS NOT DISTINCT FROM k.c AND per.fold <> prior.fold GROUP BY ALL),
+    scored AS (SELECT f.fold, parameter, target, (h + parameter * prior) / (n + parameter) AS score
+      FROM f JOIN rates ON f.fold = rates.fold AND f.c IS NOT DISTINCT FROM rates.c
+      CROSS JOIN (SELECT unnest({GRID}::DOUBLE[]) AS parameter)),
+    ranks AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY parameter, fold, score) - 1) / 2.0 AS r
+      FROM scored WINDOW w AS (PARTITION BY parameter, fold ORDER BY score)),
+    cells AS (SELECT parameter, fold, count(*) AS n, count(*) FILTER (WHERE target = 1) AS p,
+      CAST(sum(r) FILTER (WHERE target = 1) AS DOUBLE) AS s FROM ranks GROUP BY ALL),
+    metrics AS (SELECT parameter, fold, n, (s - p * (p + 1) / 2.0) / CAST(p * (n - p) AS DOUBLE) AS auc FROM cells)"""
+
+
+def _grid_scores(d):
+    return learning.cross_fitted_rates(_people(d), "sk_id_curr", "name_education_type", "target", GRID, 3, seed=1)
+
+
+query("ml3_grid_metrics", f"WITH {CELLS} SELECT parameter, fold, n, auc FROM metrics", ["auc"])(
+    lambda d: learning.grid_metrics(_grid_scores(d), "target"))
+query("ml3_chosen_parameter", f"""WITH {CELLS} SELECT parameter, count(auc) AS folds, round(avg(auc), 9) AS auc,
+    CAST(row_number() OVER (ORDER BY round(avg(auc), 9) DESC NULLS LAST, parameter) AS INT) AS place
+    FROM metrics GROUP BY parameter""")(
+    lambda d: learning.ranked_parameters(learning.grid_metrics(_grid_scores(d), "target")))
+
+
 @query("ml3_selected_and_tuned")
 def _ml3(d):
     people = _people(d)
@@ -158,3 +225,30 @@ def _ml3(d):
 
 
 query("ml4_judge")(lambda d: learning.judge(_scored(d, "logistic"), "target"))
+
+
+JUDGED = f"""WITH {PEOPLE}, s AS (SELECT name_contract_type, 1 - ext_source_2 AS score, target FROM people
+      WHERE ext_source_2 IS NOT NULL AND target IS NOT NULL)"""
+
+
+def _auc_sql(by):
+    keys = "".join(f"{c}, " for c in by)
+    window = f"PARTITION BY {', '.join(by)}" if by else ""
+    return f"""(SELECT {keys}(CAST(sum(r) FILTER (WHERE target = 1) AS DOUBLE) - p * (p + 1) / 2.0)
+        / CAST(p * (n - p) AS DOUBLE) AS auc FROM (
+      SELECT *, rank() OVER (v ORDER BY score) + (count(*) OVER (PARTITION BY {keys}score) - 1) / 2.0 AS r,
+        count(*) FILTER (WHERE target = 1) OVER v AS p, count(*) OVER v AS n
+      FROM s WINDOW v AS ({window})) GROUP BY {keys}p, n)"""
+
+
+def _judged(d):
+    people = _people(d).where("ext_source_2 IS NOT NULL AND target IS NOT NULL")
+    return people.withColumn("prediction_score", 1 - F.col("ext_source_2"))
+
+
+query("ml4_judge_of_a_known_score", f"""{JUDGED}, l AS (SELECT least(greatest(score, 1e-15), 1 - 1e-15) AS p, target
+      FROM s) SELECT (SELECT auc FROM {_auc_sql([])}) AS auc,
+      avg(-(CASE WHEN target = 1 THEN ln(p) ELSE ln(1 - p) END)) AS logloss FROM l""", ["auc", "logloss"])(
+    lambda d: learning.judge(_judged(d), "target"))
+query("ml4_auc_by_contract", f"{JUDGED} SELECT * FROM {_auc_sql(['name_contract_type'])}", ["auc"])(
+    lambda d: learning.auc(_judged(d), "target", "prediction_score", ["name_contract_type"]))

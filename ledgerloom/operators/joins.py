@@ -45,6 +45,24 @@ def attach_group_stats(
     )
 
 
+def attach_small(df: DataFrame, per_group: DataFrame, keys: Sequence[str], copies: int = 32) -> DataFrame:
+    """Add the columns of a table with one row per group, whatever the group sizes.
+
+    Each row of ``per_group`` is copied a few times and the details are dealt over the
+    copies, so a hot group is spread over tasks even where the join is shuffled.
+    Without keys ``per_group`` is one row, added as values.  Rows without a group go.
+    """
+    keys = list(keys)
+    names = [c for c in per_group.columns if c not in keys]
+    if not keys:
+        values = per_group.select(F.struct(*names).alias("_s")).scalar()
+        return df.withColumns({n: values[n] for n in names})
+    numbers = F.sequence(F.lit(0), F.lit(copies - 1))
+    copied = per_group.withColumn("_copy", F.explode(numbers))
+    dealt = df.withColumn("_copy", F.pmod(F.spark_partition_id(), F.lit(copies)))
+    return dealt.join(copied, [*keys, "_copy"]).drop("_copy")
+
+
 def attach_category_stat(df: DataFrame, category: str, stat: Column, name: str) -> DataFrame:
     """Left join of one statistic per category; an unknown category has none."""
     found = df.where(F.col(category).isNotNull()).groupBy(category).agg(stat.alias(name))

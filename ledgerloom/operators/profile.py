@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import ratio
+from ledgerloom.operators.joins import attach_small
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranking import frequencies
 
@@ -96,31 +97,23 @@ def density(df: DataFrame, name: str, bins: int, label: str) -> DataFrame:
 def box_stats(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """Quartiles, whisker ends within 1.5 quartile ranges, and rows beyond them."""
     by = list(by)
-    keys = by or ["_all"]
-    if not by:
-        df = df.withColumn("_all", F.lit(0))
-    grid = exact_quantiles(df, name, [0.25, 0.5, 0.75], keys)
-    boxes = grid.groupBy(*keys).agg(
+    grid = exact_quantiles(df, name, [0.25, 0.5, 0.75], by)
+    boxes = grid.groupBy(*by).agg(
         *[
             F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
             for n, p in (("q1", 0.25), ("med", 0.5), ("q3", 0.75))
         ]
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    # Values are counted first, so a hot group does not meet the join row by row.
-    counted = (
-        df.where(F.col(name).isNotNull())
-        .groupBy(*keys, F.col(name).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
     inside = (F.col("_v") >= F.col("q1") - reach) & (F.col("_v") <= F.col("q3") + reach)
+    values = df.where(F.col(name).isNotNull()).select(*by, F.col(name).cast("double").alias("_v"))
     return (
-        counted.join(boxes, keys)
-        .groupBy(*keys, "q1", "med", "q3")
+        attach_small(values, boxes, by)
+        .groupBy(*by, "q1", "med", "q3")
         .agg(
             F.min(F.when(inside, F.col("_v"))).alias("lo"),
             F.max(F.when(inside, F.col("_v"))).alias("hi"),
-            F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
         .select(*by, "q1", "med", "q3", "lo", "hi", "outliers")
     )

@@ -52,6 +52,12 @@ def export_scores(
     export_csv(df.select(id_col, score_col), path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark knows."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder for a temporary table.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.sources.files import lower_names, read_csv
+from ledgerloom.sources.files import lower_names, path_exists, read_csv
 
 
 @dataclass(frozen=True)
@@ -61,9 +61,7 @@ class Lake:
         df.write.format(self.fmt).mode("overwrite").options(**self.options).save(self.path(name))
 
     def exists(self, name: str) -> bool:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        conf = self.spark._jsc.hadoopConfiguration()
-        return jvm_path.getFileSystem(conf).exists(jvm_path)
+        return path_exists(self.spark, self.path(name))
 
     def register(self, names: Iterable[str], prefix: str = "") -> None:
         """Make tables of the layer known to ``spark.sql`` under their names."""
