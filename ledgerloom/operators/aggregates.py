@@ -51,18 +51,41 @@ def aggregate_name(prefix: str, column: str, function: str) -> str:
     return f"{prefix}{column}_{function}"
 
 
-def measures(
+@dataclass(frozen=True)
+class Figure:
+    """A named aggregate: a function, the SQL of its value, and the SQL of the rows it is limited to."""
+
+    name: str
+    function: str
+    value: str
+    scope: str | None = None
+
+    def column(self) -> Column:
+        return F.expr(f"{FUNCTIONS[self.function](self.value, self.scope)} AS `{self.name}`")
+
+
+def figures(
     spec: Mapping[str, Iterable[str]], prefix: str = "", scope: str | None = None
-) -> list[Column]:
-    """Aggregate columns for a spec; ``scope``, a SQL condition, limits them to some rows."""
+) -> list[Figure]:
+    """Figures for a spec; ``scope``, a SQL condition, limits them to some rows."""
     out = []
     for c, functions in spec.items():
         value = f"`{c}`" if scope is None else f"CASE WHEN {scope} THEN `{c}` END"
-        for f in functions:
-            out.append(F.expr(f"{FUNCTIONS[f](value, scope)} AS `{aggregate_name(prefix, c, f)}`"))
+        out += [Figure(aggregate_name(prefix, c, f), f, value, scope) for f in functions]
     return out
 
 
+def measures(
+    spec: Mapping[str, Iterable[str]], prefix: str = "", scope: str | None = None
+) -> list[Column]:
+    """The same as aggregate columns."""
+    return columns_of(figures(spec, prefix, scope))
+
+
+def columns_of(figures: Iterable[Figure]) -> list[Column]:
+    return [f.column() for f in figures]
+
+
 def category_flags(categories: Mapping[str, Sequence], null_flag: bool = True) -> dict[str, str]:
     """SQL of a 0/1 flag per category value, by flag name."""
     out = {}
@@ -74,20 +97,30 @@ def category_flags(categories: Mapping[str, Sequence], null_flag: bool = True) -
     return dict(zip(distinct_names(list(out)), out.values()))
 
 
-def flag_measures(
+def flag_figures(
     flags: Mapping[str, str], functions: Iterable[str], prefix: str = ""
-) -> list[Column]:
-    """Aggregates of flags, without flag columns in between."""
+) -> list[Figure]:
+    """Figures of flags, without flag columns in between."""
     return [
-        F.expr(f"{FUNCTIONS[f](flag, None)} AS `{aggregate_name(prefix, name, f)}`")
+        Figure(aggregate_name(prefix, name, f), f, flag)
         for name, flag in flags.items()
         for f in functions
     ]
 
 
-def category_shares(categories: Mapping[str, Sequence], prefix: str = "") -> list[Column]:
+def flag_measures(
+    flags: Mapping[str, str], functions: Iterable[str], prefix: str = ""
+) -> list[Column]:
+    return columns_of(flag_figures(flags, functions, prefix))
+
+
+def category_figures(categories: Mapping[str, Sequence], prefix: str = "") -> list[Figure]:
     """Share of each category value, and of NULL, per group."""
-    return flag_measures(category_flags(categories), ["mean"], prefix)
+    return flag_figures(category_flags(categories), ["mean"], prefix)
+
+
+def category_shares(categories: Mapping[str, Sequence], prefix: str = "") -> list[Column]:
+    return columns_of(category_figures(categories, prefix))
 
 
 def conditional_share(condition: Column) -> Column:
@@ -98,7 +131,8 @@ def conditional_share(condition: Column) -> Column:
 # --- ordered first and last ------------------------------------------------
 
 
-def _known(value: str, order: str) -> Column:
+def ordered_pair(value: str, order: str) -> Column:
+    """(order, value) of a known value; its minimum is the first, its maximum the last."""
     pair = F.struct(F.col(order).alias("order"), F.col(value).alias("value"))
     return F.when(F.col(value).isNotNull(), pair)
 
@@ -109,12 +143,12 @@ def first_known(value: str, order: str) -> Column:
     A minimum over (order, value), which merges before the shuffle; on a tie the
     smallest value wins.
     """
-    return F.min(_known(value, order)).getField("value")
+    return F.min(ordered_pair(value, order)).getField("value")
 
 
 def last_known(value: str, order: str) -> Column:
     """Last non-null value; on a tie the largest one wins."""
-    return F.max(_known(value, order)).getField("value")
+    return F.max(ordered_pair(value, order)).getField("value")
 
 
 # --- look-back windows -------------------------------------------------------
@@ -139,18 +173,20 @@ class Lookbacks:
     def suffixes(self) -> list[str]:
         return [suffix for suffix, _ in self.windows]
 
-    def expand(self, df: DataFrame) -> DataFrame:
-        """One copy of a row per window it lies in, numbered in ``lookback``.
-
-        The windows are nested, so their number is a count of comparisons.  The
-        partial aggregation that follows merges the copies of a key that are in
-        one input task; copies in different tasks are shuffled.
-        """
+    def number_of_windows(self) -> Column:
+        """How many windows a row lies in: they are nested, so this is a count of comparisons."""
         inside = [
             F.lit(1) if reach is None else F.when(F.col(self.offset) >= -reach, 1).otherwise(0)
             for _, reach in self.windows
         ]
-        n = sum(inside[1:], inside[0])
+        return sum(inside[1:], inside[0])
+
+    def expand(self, df: DataFrame) -> DataFrame:
+        """One copy of a row per window it lies in, numbered in ``lookback``.
+
+        For aggregates that do not merge; the others are made of bands.
+        """
+        n = self.number_of_windows()
         numbers = F.when(n > 0, F.sequence(F.lit(0), n - 1))
         return df.withColumn(LOOKBACK, F.explode(numbers))
 
@@ -160,10 +196,14 @@ class Lookbacks:
         A key has at most one row per window; they are kept in a map.
         """
         names = tuple(c for c in long.columns if c not in (key, LOOKBACK))
-        row = F.struct(F.col(LOOKBACK), F.struct(*names))
-        rows = F.map_from_entries(F.collect_list(row)).alias("_rows")
+        figures = ", ".join(f"`{c}`" for c in names)
+        rows = F.expr(f"map_from_entries(collect_list(struct({LOOKBACK}, struct({figures})))) AS _rows")
         return Gathered(long.groupBy(key).agg(rows), key, names, tuple(self.suffixes))
 
+    def gathered(self, table: DataFrame, key: str, names: Sequence[str]) -> "Gathered":
+        """A table that is nested already."""
+        return Gathered(table, key, tuple(names), tuple(self.suffixes))
+
     def widen(self, long: DataFrame, key: str) -> DataFrame:
         """The same, unfolded into one column per figure and window."""
         return self.gather(long, key).unfold()

@@ -11,12 +11,14 @@ from pyspark.sql import types as T
 from ledgerloom.functions import ratio
 from ledgerloom.operators.aggregates import (
     DAY_WINDOWS,
-    LOOKBACK,
+    Figure,
     Gathered,
     Lookbacks,
-    category_shares,
-    measures,
+    category_figures,
+    columns_of,
+    figures,
 )
+from ledgerloom.operators.bands import by_key, window_figures, with_band
 from ledgerloom.operators.cleaning import null_maximum, zero_to_null
 from ledgerloom.operators.columns import columns_of_type
 from ledgerloom.operators.encoding import fit_categories
@@ -78,14 +80,22 @@ def row_features(previous: DataFrame) -> DataFrame:
     )
 
 
-def client_measures(categories: Mapping[str, Sequence[str]]) -> list[Column]:
+def client_figures(categories: Mapping[str, Sequence[str]]) -> list[Figure]:
     """The ``prev_`` figures over all applications."""
-    return measures(AGGREGATES, "prev_") + category_shares(categories, "prev_")
+    return figures(AGGREGATES, "prev_") + category_figures(categories, "prev_")
 
 
-def scoped_measures() -> list[Column]:
+def client_measures(categories: Mapping[str, Sequence[str]]) -> list[Column]:
+    return columns_of(client_figures(categories))
+
+
+def scoped_figures() -> list[Figure]:
     """The ``cs_app_`` and ``cs_ref_`` figures over approved and refused ones."""
-    return [m for p, s in SCOPES.items() for m in measures(AGGREGATES, p, f"{STATUS} = '{s}'")]
+    return [f for p, s in SCOPES.items() for f in figures(AGGREGATES, p, f"{STATUS} = '{s}'")]
+
+
+def scoped_measures() -> list[Column]:
+    return columns_of(scoped_figures())
 
 
 def fit_previous(previous: DataFrame) -> dict[str, list[str]]:
@@ -107,9 +117,13 @@ def gather_previous(
     lookbacks: Lookbacks = LOOKBACKS,
 ) -> Gathered:
     """The figures of every look-back window, nested."""
-    return lookbacks.gather(
-        per_client(lookbacks.expand(previous), categories, (CLIENT, LOOKBACK)), CLIENT
-    )
+    wanted = client_figures(categories) + scoped_figures()
+
+    def build(rows: DataFrame) -> DataFrame:
+        return lookbacks.gather(window_figures(row_features(rows), [CLIENT], wanted), CLIENT).table
+
+    table = by_key(with_band(previous, lookbacks), CLIENT, build)
+    return lookbacks.gathered(table, CLIENT, [f.name for f in wanted])
 
 
 def previous_features(

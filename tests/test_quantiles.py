@@ -85,7 +85,7 @@ def test_range_number(spark, monkeypatch, step):
 
 
 def test_running_sums(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "fine_grid", lambda: [i / 7 for i in range(1, 7)])
+    monkeypatch.setattr(quantiles, "RANGES", 7)
     rnd = random.Random(1)
     data = [(rnd.choice("aab"), float(rnd.choice([5, 5, 5, rnd.randrange(60)])), rnd.randrange(4)) for _ in range(900)]
     df = spark.createDataFrame(data + [("a", None, 3), (None, 1.0, 1)], "g string, v double, n int").repartition(6)
