@@ -363,12 +363,12 @@ def extra(exprs):
     return ", ".join(f"{e} AS {n}" for n, e in exprs.items())
 
 
-def median_sql(source, quantile="quantile_disc"):
-    """``source`` with the six medians by correlated lookup tables."""
+def median_sql(source, quantile="quantile_disc", fitted_on=None):
+    """``source`` with the six medians, of itself or of another table, by lookup tables."""
     joins, picks = "", []
     for c, name in MEDIANS.items():
         joins += (f" LEFT JOIN (SELECT {c} AS k, {quantile}(amt_income_total, 0.5) AS m "
-                  f"FROM {source} GROUP BY 1) m_{name} ON t.{c} = m_{name}.k")
+                  f"FROM {fitted_on or source} GROUP BY 1) m_{name} ON t.{c} = m_{name}.k")
         picks.append(f"m_{name}.m AS median_income_{name}")
     return f"SELECT t.*, {', '.join(picks)} FROM {source} t{joins}"
 
@@ -392,14 +392,16 @@ APP_CONTRACTS = {
     "applicant": ["Cash loans", "Revolving loans"]}
 
 
-def app_features_sql(role, keep_documents=()):
-    categories = {"name_contract_type": APP_CONTRACTS[role]} | APP_CATEGORIES
+def app_features_sql(role, keep_documents=(), fitted_on=None):
+    """Features of a role, with medians and categories of itself or of another role."""
+    categories = {"name_contract_type": APP_CONTRACTS[fitted_on or role]} | APP_CATEGORIES
     hot = [f"{flag(c, v)} AS {c}_{safe(v)}" for c, vs in categories.items() for v in vs]
     percents = [f"median_income_{m} / nullif(amt_income_total, 0) AS {m}_income_percent"
                 for m in MEDIAN_PERCENTS]
     gone = list(categories) + ["ingest_date"] + [
         f"flag_document_{i}" for i in range(2, 22) if f"flag_document_{i}" not in keep_documents]
-    return f"""WITH cleaned AS MATERIALIZED ({APP_CLEAN.format(role=role)}),
-      med AS ({median_sql('cleaned')})
+    train = f"train AS MATERIALIZED ({APP_CLEAN.format(role=fitted_on)})," if fitted_on else ""
+    return f"""WITH cleaned AS MATERIALIZED ({APP_CLEAN.format(role=role)}), {train}
+      med AS ({median_sql('cleaned', fitted_on='train' if fitted_on else None)})
       SELECT * EXCLUDE ({', '.join(gone)}), {extra(APP_ROW)}, {', '.join(percents)},
         {', '.join(hot)} FROM med"""

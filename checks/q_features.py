@@ -7,6 +7,7 @@ from checks.registry import query
 from ledgerloom.operators import cleaning, encoding
 from ledgerloom.operators.aggregates import LOOKBACK
 from ledgerloom.plans import application, bureau, card, instalments, mart, pos, previous
+from ledgerloom.sources import Lake, scratch_folder, written
 
 APP_KEY = "sk_id_curr, ingest_date, amt_credit"
 
@@ -139,7 +140,7 @@ MEDIAN_SOURCE = f"(SELECT {', '.join(MEDIAN_INPUTS)} FROM application)"
 def _medians(d, exact):
     df = d.role("application").select(*MEDIAN_INPUTS)
     # The checks compare with an exact median, so the sketch is asked for one.
-    fitted = application.fit_medians(df, exact, accuracy=10_000_000)
+    fitted = written(application.fit_medians(df, exact, accuracy=10_000_000))
     return application.apply_medians(df, fitted)
 
 
@@ -168,6 +169,38 @@ def _one_hot(d, with_null):
     return encoding.one_hot(df, encoding.fit_categories(df), with_null)
 
 
+def _hot_none():
+    nones = "CAST(0 AS INT) AS p_brand_None, CAST(0 AS INT) AS p_type_None"
+    return f"SELECT *, {nones} FROM ({_hot(False)})"
+
+
+def _indexed(columns):
+    values = " UNION ".join(f"SELECT '{c}' AS name, {c} AS value FROM product WHERE {c} IS NOT NULL" for c in columns)
+    return f"""(SELECT name, value, row_number() OVER (ORDER BY name, substr(md5(value), 1, 3), value) - 1 AS position
+      FROM ({values}))"""
+
+
+query("fea8_one_hot_with_none", _hot_none())(
+    lambda d: encoding.one_hot(
+        d.role("product").drop("tags"), encoding.fit_categories(d.role("product").drop("tags")), none_column=True))
+query("fea8_long_form", """SELECT * FROM (
+      SELECT p_partkey, 'p_brand' AS name, p_brand AS value FROM product UNION ALL
+      SELECT p_partkey, 'p_type', p_type FROM product UNION ALL
+      SELECT p_partkey, 'tags', tags FROM product) WHERE value IS NOT NULL""")(
+    lambda d: encoding.category_pairs(d.role("product"), ["p_brand", "p_type", "tags"], ["p_partkey"]))
+query("fea8_value_index", f"SELECT * FROM {_indexed(['p_brand', 'p_type', 'tags'])}")(
+    lambda d: encoding.index_values(encoding.category_pairs(d.role("product"), ["p_brand", "p_type", "tags"]))
+    .withColumn("position", F.col("position").cast("long")))
+query("fea8_sparse_rows", f"""WITH i AS (SELECT * FROM {_indexed(['p_brand', 'p_type', 'tags'])}),
+      e AS (SELECT p_partkey, position FROM product JOIN i ON (name = 'p_brand' AND value = p_brand)
+        OR (name = 'p_type' AND value = p_type) OR (name = 'tags' AND value = tags))
+    SELECT p_partkey, (SELECT count(*) FROM i) AS size, string_agg(position, ',' ORDER BY position) AS indices
+    FROM e GROUP BY 1""")(
+    lambda d: encoding.sparse_rows(
+        d.role("product"), "p_partkey",
+        encoding.index_values(encoding.category_pairs(d.role("product"), ["p_brand", "p_type", "tags"])),
+        ["p_brand", "p_type", "tags"],
+    ).select("p_partkey", "size", F.concat_ws(",", F.col("indices").cast("array<string>")).alias("indices")))
 query("fea8_one_hot", _hot(False))(lambda d: _one_hot(d, False))
 query("fea9_one_hot_with_null", _hot(True))(lambda d: _one_hot(d, True))
 query("fea10_application_features", fs.app_features_sql("application"))(
@@ -335,11 +368,17 @@ query("fek3_lookbacks", fs.CARD_WIDE, round_=CARD_WIDE_INEXACT)(
 BUREAU_SQL, BUREAU_NAMES = fs.bureau_sql()
 MART_PARTS = {"bur": BUREAU_SQL, "prv": fs.PREV_WIDE, "cash": fs.POS_WIDE, "inst": fs.INS_WIDE,
               "crd": fs.CARD_WIDE}
-MART_SQL = """WITH app AS ({}), {} SELECT * FROM app {}""".format(
-    fs.app_features_sql("applicant", ("flag_document_3",)),
-    ", ".join(f"{n} AS ({sql})" for n, sql in MART_PARTS.items()),
-    " ".join(f"LEFT JOIN {n} USING (sk_id_curr)" for n in MART_PARTS),
-)
+
+
+def mart_sql(app):
+    return """WITH app AS ({}), {} SELECT * FROM app {}""".format(
+        app,
+        ", ".join(f"{n} AS ({sql})" for n, sql in MART_PARTS.items()),
+        " ".join(f"LEFT JOIN {n} USING (sk_id_curr)" for n in MART_PARTS),
+    )
+
+
+MART_SQL = mart_sql(fs.app_features_sql("applicant", ("flag_document_3",)))
 MART_INEXACT = (
     [n for n in BUREAU_NAMES if n in fs.BUREAU_INEXACT]
     + _prev_inexact(PREV_WIDE_NAMES)
@@ -359,6 +398,17 @@ def _mart(d):
     return mart.feature_mart(cleaned, sources(d), mart.MartEncoder.fit(cleaned, sources(d)))
 
 
+@query("fem1_mart_of_newcomers", mart_sql(fs.app_features_sql("newcomer", ("flag_document_3",), "applicant")),
+       round_=MART_INEXACT)
+def _mart_of_newcomers(d):
+    """Learned on applicants and kept; loaded by name and applied to others, of unknown and absent categories."""
+    base = scratch_folder(d.spark, "fem1")
+    mart.MartEncoder.fit_and_save(
+        Lake(d.spark, base), "mart", application.clean_application(d.role("applicant")), sources(d))
+    encoder = mart.MartEncoder.load(Lake(d.spark, base), "mart")
+    return mart.feature_mart(application.clean_application(d.role("newcomer")), sources(d), encoder)
+
+
 # --- the windows themselves ----------------------------------------------------------------------
 
 query("flt4_day_windows", """SELECT w.lookback, count(*) AS n, count(DISTINCT sk_id_curr) AS clients

@@ -129,6 +129,15 @@ def role_sql(spark: bool) -> dict[str, str]:
             d, "c_custkey", "(c_acctbal + 1000) * 17", TODAY, "c_custkey % 4 = 0",
             "CASE WHEN c_custkey % 6 = 0 THEN 'Revolving loans' ELSE 'Cash loans' END", client,
         ),
+        # New applicants, for what was learned on others: some of their categories are unknown there.
+        "newcomer": _application(
+            d, "c_custkey", "(c_acctbal + 2000) * 9", TODAY, "c_custkey % 7 = 0",
+            "CASE WHEN c_custkey % 5 = 0 THEN 'Micro loans' ELSE 'Cash loans' END",
+            f"""(SELECT s_suppkey AS c_custkey, s_nationkey AS c_nationkey, s_acctbal AS c_acctbal,
+        CASE s_suppkey % 4 WHEN 0 THEN 'SPACE' WHEN 1 THEN 'BUILDING' ELSE 'HOUSEHOLD' END AS c_mktsegment
+      FROM {d.t('supplier')}) JOIN {d.t('nation')} ON c_nationkey = n_nationkey
+      JOIN {d.t('region')} ON n_regionkey = r_regionkey""",
+        ),
         "bureau": f"""
     SELECT o_custkey AS sk_id_curr, {k} AS sk_id_bureau,
       CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Active' ELSE 'Sold' END

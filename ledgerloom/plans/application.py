@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import ratio
-from ledgerloom.operators.bounded import checked_small
 from ledgerloom.operators.cleaning import (
     fill_most_frequent,
     fill_nulls,
@@ -17,10 +18,12 @@ from ledgerloom.operators.cleaning import (
     null_where,
     replace_values,
 )
-from ledgerloom.operators.encoding import fit_categories, one_hot
+from ledgerloom.operators.encoding import LIMIT, Limits, category_pairs, category_rows, one_hot
+from ledgerloom.operators.columns import columns_of_type
 from ledgerloom.operators.quantiles import exact_quantiles
+from ledgerloom.plans.learned import learned_categories, learned_rows, read_categories
 from ledgerloom.plans.star import DOCUMENT_FLAGS
-from ledgerloom.sources import Lake, export_csv
+from ledgerloom.sources import Lake, export_csv, written
 
 # --- fixed values: repairs ------------------------------------------------------
 
@@ -171,9 +174,11 @@ def fit_medians(
 
 
 def apply_medians(df: DataFrame, medians: DataFrame) -> DataFrame:
-    """Join learned medians; checked to be small, they are broadcast and the
-    application table is not shuffled."""
-    medians = checked_small(medians)
+    """Join learned medians.
+
+    Read from a table, as an encoder does, their size is known and they are broadcast if
+    small, so the application table is not shuffled.
+    """
     for category, name in INCOME_MEDIANS.items():
         one = medians.where(F.col("dimension") == category).select(
             F.col("category").alias(category), F.col("median").alias(name)
@@ -191,28 +196,72 @@ def median_quotients(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ApplicationEncoder:
-    """What is learned on the training table and applied to any other."""
+    """What is learned on the training table and applied to any other.
+
+    ``wide`` are category columns with more values than their limit: they are no columns
+    of the features but stay in the long form.
+    """
 
     medians: DataFrame
     categories: Mapping[str, list[str]] = field(default_factory=dict)
     keep_documents: tuple[str, ...] = ()
+    wide: tuple[str, ...] = ()
 
     @staticmethod
     def fit(
-        cleaned: DataFrame, exact_median: bool = False, keep_documents: tuple[str, ...] = ()
+        cleaned: DataFrame,
+        exact_median: bool = False,
+        keep_documents: tuple[str, ...] = (),
+        limits: Limits = LIMIT,
     ) -> "ApplicationEncoder":
         """``keep_documents`` names document flags that stay in the features."""
+        learned = written(ApplicationEncoder.learn(cleaned, exact_median, keep_documents, limits), "learned")
+        return ApplicationEncoder.of(learned)
+
+    @staticmethod
+    def learn(
+        cleaned: DataFrame,
+        exact_median: bool = False,
+        keep_documents: tuple[str, ...] = (),
+        limits: Limits = LIMIT,
+    ) -> DataFrame:
+        """All that is learned, as rows of one table."""
         source = cleaned.drop(*LOAD_COLUMNS)
-        return ApplicationEncoder(
-            checked_small(fit_medians(source, exact_median)), fit_categories(source), keep_documents
+        names = columns_of_type(source, T.StringType)
+        medians = learned_rows(
+            fit_medians(source, exact_median), "application", "median", "dimension", "category", "median"
+        )
+        documents = cleaned.sparkSession.createDataFrame([(c,) for c in keep_documents], "name string")
+        return reduce(
+            DataFrame.unionByName,
+            [
+                medians,
+                learned_categories(source, "application", names, limits),
+                learned_rows(documents, "application", "document", "name"),
+            ],
         )
 
+    @staticmethod
+    def of(learned: DataFrame) -> "ApplicationEncoder":
+        """From the table; only what names columns comes to the driver."""
+        mine = learned.where(F.col("source") == "application")
+        medians = mine.where(F.col("part") == "median").select(
+            F.col("name").alias("dimension"), F.col("value").alias("category"), F.col("number").alias("median")
+        )
+        categories, wide = read_categories(learned, "application")
+        documents = mine.where(F.col("part") == "document").orderBy("name").collect()
+        return ApplicationEncoder(medians, categories, tuple(r["name"] for r in documents), tuple(wide))
+
     def apply(self, cleaned: DataFrame) -> DataFrame:
         df = row_features(cleaned.drop(*LOAD_COLUMNS))
         df = median_quotients(apply_medians(df, self.medians))
-        df = df.drop(*[c for c in DOCUMENT_FLAGS if c not in self.keep_documents])
+        df = df.drop(*[c for c in DOCUMENT_FLAGS if c not in self.keep_documents], *self.wide)
         return one_hot(df, self.categories)
 
+    def wide_values(self, cleaned: DataFrame, id_col: str = "sk_id_curr") -> DataFrame:
+        """Rows (id, name, value) of the wide columns."""
+        return category_pairs(cleaned, self.wide, [id_col])
+
 
 def application_features(
     cleaned: DataFrame, exact_median: bool = False, keep_documents: tuple[str, ...] = ()

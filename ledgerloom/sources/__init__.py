@@ -5,5 +5,6 @@ from ledgerloom.sources.files import (  # noqa: F401
     read_csv,
     read_csv_head,
     scratch_folder,
+    written,
 )
 from ledgerloom.sources.lake import Lake, ingest_table, ingest_tables, stamp_ingest  # noqa: F401

@@ -70,3 +70,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written to a scratch folder and read back.
+
+    It is computed once, survives lost executors, and its size is known when later joins
+    are planned, which broadcast it only if it is small.
+    """
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

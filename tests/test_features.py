@@ -5,6 +5,7 @@ from checks.q_features import sources
 from checks.registry import Data
 from ledgerloom.operators.aggregates import Lookbacks
 from ledgerloom.plans import application, instalments, mart, pos, previous
+from ledgerloom.sources import Lake
 from tables import rows
 
 SMALL = "/root/testdata/sf0.001"
@@ -95,3 +96,26 @@ def test_mart_has_one_row_per_applicant_and_unique_columns(data):
     assert len({c.lower() for c in out.columns}) == len(out.columns) > 2000
     ids = out.select("sk_id_curr").collect()
     assert len(ids) == len(set(ids)) == data.table("customer").count()
+
+
+def test_encoder_is_kept_and_loaded_without_the_data(data, spark, tmp_path):
+    """Versions stay; a loaded encoder gives what the fitted one gives, and reads no training table."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    cleaned = application.clean_application(data.role("applicant"))
+    with pytest.raises(KeyError):
+        mart.MartEncoder.load(lake, "mart")
+    assert mart.MartEncoder.fit_and_save(lake, "mart", cleaned, sources(data)) == 1
+    few = cleaned.where("name_contract_type = 'Cash loans'")
+    assert mart.MartEncoder.fit_and_save(lake, "mart", few, sources(data), limits={"organization_type": 3}) == 2
+    old, new = (mart.MartEncoder.load(Lake(spark, str(tmp_path / "lake")), "mart", v) for v in (1, None))
+    assert len(old.application.categories["name_contract_type"]) == 2
+    assert new.application.categories["name_contract_type"] == ["Cash loans"]
+    assert new.application.wide == ("organization_type",) and "organization_type" not in new.application.categories
+    fitted = mart.MartEncoder.fit(cleaned, sources(data))
+    for a, b in ((fitted.application.apply(cleaned), old.application.apply(cleaned)),):
+        assert a.columns == b.columns and rows(a, "sk_id_curr") == rows(b, "sk_id_curr")
+    spine = application.clean_application(data.role("newcomer"))
+    files = old.application.apply(spine).inputFiles()
+    assert not any("customer.parquet" in f for f in files) and any("/learned/mart/1/" in f for f in files)
+    assert new.application.wide_values(cleaned).where("name = 'organization_type'").count() == cleaned.count()
+    assert "organization_type" not in new.application.apply(cleaned).columns
