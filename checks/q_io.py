@@ -4,6 +4,7 @@ Each query writes a table to the scratch folder and returns what is read back.
 """
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from ledgerloom.sources import (
     Lake,
     export_csv,
     export_scores,
+    ingest_table,
     ingest_tables,
     read_csv,
     read_csv_head,
@@ -131,6 +133,41 @@ def _cat1(d):
         ON r_regionkey = n_regionkey GROUP BY r_name""")
 
 
+@query("cat1_tables_in_a_new_session", """SELECT r_name, count(*) AS n, sum(o_orderkey)::BIGINT AS keys
+    FROM region JOIN nation ON r_regionkey = n_regionkey JOIN customer ON c_nationkey = n_nationkey
+    JOIN orders ON o_custkey = c_custkey GROUP BY 1""")
+def _cat1_new_session(d):
+    lake, database = _lake(d, "cat1"), f"lake_{uuid.uuid4().hex[:12]}"
+    for name in ("region", "nation", "customer"):
+        lake.replace(d.table(name), name)
+    lake.replace(d.table("orders").withColumn("part", F.col("o_orderkey") % 3), "orders", ["part"])
+    Lake(d.spark, lake.base).create_tables(database)
+    other = d.spark.newSession()
+    return other.sql(f"""SELECT r_name, count(*) AS n, sum(o_orderkey) AS keys FROM {database}.region
+        JOIN {database}.nation ON r_regionkey = n_regionkey JOIN {database}.customer ON c_nationkey = n_nationkey
+        JOIN {database}.orders ON o_custkey = c_custkey GROUP BY r_name""")
+
+
+@query("ing2_rejected_lines", """SELECT 'customer' AS name, count(*) FILTER (WHERE c_custkey % 10 > 1) AS n,
+    count(*) FILTER (WHERE c_custkey % 10 < 2) AS rejected,
+    (sum(c_custkey) FILTER (WHERE c_custkey % 10 > 1))::BIGINT AS keys,
+    count(*) FILTER (WHERE c_custkey % 10 < 2) AS lines FROM customer""")
+def _ing2_rejected(d):
+    """Lines with a word where a number belongs, or a field too many, are reported, not lost or made NULL."""
+    raw, bronze = scratch_folder(d.spark, "ing2"), _lake(d, "ing2_bronze")
+    balance = F.when(F.col("c_custkey") % 10 == 0, "unknown").otherwise(F.col("c_acctbal").cast("string"))
+    more = F.when(F.col("c_custkey") % 10 == 1, ",one,more").otherwise("")
+    text = F.concat_ws("", F.concat_ws(",", "c_custkey", "c_name", balance), more)
+    header = d.spark.createDataFrame([("SK_ID_CURR,NAME,AMT_BALANCE",)], "value string")
+    header.unionByName(d.table("customer").select(text.alias("value"))).coalesce(1).write.text(f"{raw}/customer.csv")
+    loaded = ingest_table(raw, bronze, "customer", DAY_ONE)
+    kept, lines = bronze.read("customer"), bronze.read("customer_rejected")
+    return kept.agg(
+        F.lit(loaded.table).alias("name"), F.lit(loaded.rows).cast("long").alias("n"),
+        F.lit(loaded.rejected).cast("long").alias("rejected"), F.sum("sk_id_curr").alias("keys"),
+    ).withColumn("lines", lines.agg(F.count(F.lit(1))).scalar())
+
+
 @query("ing1_stamp", """SELECT n_name, DATE '2001-08-01' AS ingest_date,
     '2001-08-01 06:30:00' AS ingested FROM nation""")
 def _ing1(d):

@@ -63,6 +63,21 @@ query("eda7_density", f"""WITH h AS ({_bins('application', 'amt_annuity', 50, 't
     FROM h JOIN t USING (target)""", ["x", "density"])(
     lambda d: profile.density(d.role("application"), "amt_annuity", 50, "target"))
 
+query("eda7_kernel_density", """WITH v AS (SELECT target, CAST(amt_annuity AS DOUBLE) AS v FROM application
+      WHERE amt_annuity IS NOT NULL AND target IS NOT NULL),
+    s AS (SELECT target, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS a, max(v) AS z
+      FROM v GROUP BY 1 HAVING stddev_samp(v) > 0),
+    g AS (SELECT target, n, h, a - 3 * h AS lo, z + 3 * h AS hi, (z + 3 * h - (a - 3 * h)) / 1024.0::DOUBLE AS step FROM s),
+    p AS (SELECT target, (v - lo) / step AS spot FROM v JOIN g USING (target)),
+    w AS (SELECT target, node, sum(weight) AS weight FROM (
+      SELECT target, floor(spot) AS node, 1 - spot + floor(spot) AS weight FROM p UNION ALL
+      SELECT target, floor(spot) + 1, spot - floor(spot) FROM p) GROUP BY ALL),
+    c AS (SELECT *, lo + (hi - lo) * point / 99.0::DOUBLE AS x FROM g, (SELECT unnest(range(100))::INT AS point))
+    SELECT target, point, x, sum(weight * exp(-0.5::DOUBLE * pow((x - lo - node * step) / h, 2)))
+      / (n * h * sqrt(2 * pi())) AS density FROM c JOIN w USING (target) GROUP BY target, point, x, n, h""",
+      ["x", "density"])(
+    lambda d: profile.kernel_density(d.role("application"), "amt_annuity", "target"))
+
 
 def _boxes(table, column, by):
     keys = ", ".join(by)

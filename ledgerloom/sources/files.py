@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,6 +28,49 @@ def read_csv(
     return reader.csv(path)
 
 
+#: Column that holds a line which did not fit the schema.
+CORRUPT = "_corrupt_line"
+
+# The type of a raw column by the beginning or end of its name, first match.
+TYPE_RULES = [
+    (r"SK_ID_.*", "bigint"),
+    (r"(NAME|CODE|WEEKDAY|FLAG_OWN|FLAG_LAST_APPL|CHANNEL|PRODUCT|STATUS|CREDIT_ACTIVE|CREDIT_CURRENCY|CREDIT_TYPE).*", "string"),
+    (r"(OCCUPATION_TYPE|ORGANIZATION_TYPE|FONDKAPREMONT_MODE|HOUSETYPE_MODE|WALLSMATERIAL_MODE|EMERGENCYSTATE_MODE)", "string"),
+    (r"(TARGET|FLAG_.*|NFLAG_.*|REG_.*|LIVE_.*|REGION_RATING.*|HOUR_.*|SK_DPD.*|SELLERPLACE_AREA|CNT_CHILDREN|MONTHS_BALANCE)", "int"),
+    (r"(NUM_INSTALMENT_NUMBER|DAYS_BIRTH|DAYS_EMPLOYED|DAYS_ID_PUBLISH|DAYS_DECISION|DAYS_CREDIT|DAYS_CREDIT_UPDATE)", "int"),
+    (r"(CREDIT_DAY_OVERDUE|CNT_CREDIT_PROLONG)", "int"),
+    (r".*", "double"),
+]
+
+
+def type_of_name(name: str) -> str:
+    return next(kind for pattern, kind in TYPE_RULES if re.fullmatch(pattern, name, re.IGNORECASE))
+
+
+def header_schema(spark: SparkSession, path: str, sep: str = ",") -> str:
+    """The schema of a raw file by its header line and the rules; no other line is read."""
+    first = spark.read.option("header", False).option("sep", sep).csv(path).first()
+    if first is None:
+        raise ValueError(f"no header line in {path}")
+    return ", ".join(f"`{name}` {type_of_name(name)}" for name in first)
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: StructType | str, sep: str = ","
+) -> DataFrame:
+    """CSV by a schema, with lines that do not fit it kept in one more column.
+
+    A header with other names is an error.  A line with too few or too many fields, or a
+    value of another type, has its text in ``CORRUPT``.
+    """
+    text = schema if isinstance(schema, str) else ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
+    )
+    reader = spark.read.option("header", True).option("sep", sep).schema(f"{text}, {CORRUPT} string")
+    options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE", "enforceSchema": False, "columnPruning": False}
+    return reader.options(**options).csv(path)
+
+
 def read_csv_head(
     spark: SparkSession, path: str, n: int, schema: StructType | str | None = None
 ) -> DataFrame:

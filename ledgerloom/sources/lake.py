@@ -6,11 +6,17 @@ import datetime as dt
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.sources.files import lower_names, path_exists, read_csv
+from ledgerloom.sources.files import (
+    CORRUPT,
+    header_schema,
+    lower_names,
+    path_exists,
+    read_csv_checked,
+)
 
 
 @dataclass(frozen=True)
@@ -63,6 +69,40 @@ class Lake:
     def exists(self, name: str) -> bool:
         return path_exists(self.spark, self.path(name))
 
+    def names(self) -> list[str]:
+        """The tables of the layer, found by their folders."""
+        jvm = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        system = jvm.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(jvm):
+            return []
+        found = [s.getPath().getName() for s in system.listStatus(jvm) if s.isDirectory()]
+        return sorted(n for n in found if not n.startswith(("_", ".")))
+
+    def create_tables(self, database: str, names: Iterable[str] | None = None) -> list[str]:
+        """Make tables of the layer known to the session catalog, by their folders.
+
+        They are external tables: with a metastore they outlive the session, and every
+        session sees them by name; dropping one leaves its data.  Tables already there are
+        defined anew, so that changed schemas and new partitions are seen.
+        """
+        names = list(self.names() if names is None else names)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for name in names:
+            table = f"`{database}`.`{name}`"
+            # Read first: a folder that is no table must not replace a definition.
+            partitioned = self._partitions(name)
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            location = self.path(name).replace("'", "\\'")
+            self.spark.sql(f"CREATE TABLE {table} USING {self.fmt} LOCATION '{location}'")
+            if partitioned and self.fmt in ("parquet", "orc", "csv", "json"):
+                self.spark.catalog.recoverPartitions(f"{database}.{name}")
+        return names
+
+    def _partitions(self, name: str) -> bool:
+        """Whether the folder of a table holds folders of partitions."""
+        files = self.read(name).inputFiles()
+        return any("=" in f.rsplit("/", 2)[-2] for f in files[:1])
+
     def register(self, names: Iterable[str], prefix: str = "") -> None:
         """Make tables of the layer known to ``spark.sql`` under their names."""
         for name in names:
@@ -86,6 +126,15 @@ def stamp_ingest(
     return df.withColumns({"ingest_date": day, "ingest_timestamp": moment})
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """What a load did."""
+
+    table: str
+    rows: int
+    rejected: int
+
+
 def ingest_table(
     raw_base: str,
     bronze: Lake,
@@ -93,19 +142,33 @@ def ingest_table(
     ingest_date: dt.date | None = None,
     schema: StructType | str | None = None,
     keep_history: bool = False,
-) -> None:
+) -> Loaded:
     """One raw CSV to a date-partitioned table of the same name in lower case.
 
-    By default a load replaces the table; with ``keep_history`` it replaces only
-    the partition of its own date.
+    Types come from ``schema`` or else from the header's names; the data are read once.
+    Lines that do not fit are counted on the way and go, with their text, file and what
+    could be read of them, to the table ``<name>_rejected``, for which the file is read
+    again.  By default a load replaces
+    the table; with ``keep_history`` it replaces only the partition of its own date.
     """
-    raw = lower_names(read_csv(bronze.spark, f"{raw_base.rstrip('/')}/{name}.csv", schema))
-    bronze.replace(
-        stamp_ingest(raw, ingest_date),
-        name.lower(),
-        partition_by=["ingest_date"],
-        only_partitions_written=keep_history,
-    )
+    path = f"{raw_base.rstrip('/')}/{name}.csv"
+    parsed = read_csv_checked(bronze.spark, path, schema or header_schema(bronze.spark, path))
+    bad = F.col(CORRUPT).isNotNull()
+    counts = Observation()
+    counted = parsed.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected"))
+    table = name.lower()
+    how = {"partition_by": ["ingest_date"], "only_partitions_written": keep_history}
+    bronze.replace(stamp_ingest(lower_names(counted.where(~bad).drop(CORRUPT)), ingest_date), table, **how)
+    found = counts.get
+    if found["rejected"] or (not keep_history and bronze.exists(f"{table}_rejected")):
+        # All columns, as those left out would not be checked against their types.
+        readable = F.to_json(F.struct(*[c for c in parsed.columns if c != CORRUPT]))
+        lines = parsed.where(bad).select(
+            F.col(CORRUPT).alias("line"), F.input_file_name().alias("file"), readable.alias("readable")
+        )
+        # Without history the table is one that an empty load can replace, too.
+        bronze.replace(stamp_ingest(lines, ingest_date), f"{table}_rejected", **(how if keep_history else {}))
+    return Loaded(table, found["lines"] - found["rejected"], found["rejected"])
 
 
 def ingest_tables(
@@ -115,8 +178,8 @@ def ingest_tables(
     ingest_date: dt.date | None = None,
     schemas: Mapping[str, StructType | str] | None = None,
     keep_history: bool = False,
-) -> None:
-    for name in names:
-        ingest_table(
-            raw_base, bronze, name, ingest_date, (schemas or {}).get(name), keep_history
-        )
+) -> list[Loaded]:
+    return [
+        ingest_table(raw_base, bronze, name, ingest_date, (schemas or {}).get(name), keep_history)
+        for name in names
+    ]

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.profile import box_stats, describe, histogram, percentile_grid
+from ledgerloom.operators.profile import box_stats, describe, histogram, kernel_density, percentile_grid
 from ledgerloom.operators import quantiles
 from ledgerloom.operators.joins import attach_small
 from ledgerloom.operators.quantiles import exact_quantiles, running_sums
@@ -112,3 +112,21 @@ def test_attach_small_spreads_a_hot_group(spark):
             spark.conf.unset(f"spark.sql.{name}")
     assert sum(per_task) == 20_000 and max(per_task) < 15_000
     assert out.agg(F.min("s"), F.max("s"), F.count("s")).first() == (7, 7, 20_000)
+
+
+def test_kernel_density_equals_a_plain_evaluation(spark):
+    rng = np.random.default_rng(4)
+    values = {0: rng.normal(50, 9, 3000), 1: rng.exponential(20, 2000)}
+    data = [(k, float(v)) for k, vs in values.items() for v in vs] + [(2, 5.0), (2, 5.0), (3, 1.0), (None, 2.0), (0, None)]
+    df = spark.createDataFrame(data, "y int, x double").repartition(5)
+    found = kernel_density(df, "x", "y", points=60).collect()
+    assert {r["y"] for r in found} == {0, 1} and len(found) == 120
+    for label, vs in values.items():
+        h = vs.std(ddof=1) * len(vs) ** -0.2
+        got = sorted((r["x"], r["density"]) for r in found if r["y"] == label)
+        x = np.array([g[0] for g in got])
+        assert np.allclose([x[0], x[-1]], [vs.min() - 3 * h, vs.max() + 3 * h])
+        want = np.exp(-0.5 * ((x[:, None] - vs) / h) ** 2).sum(1) / (len(vs) * h * np.sqrt(2 * np.pi))
+        # Sharing a value between two nodes widens the kernel by the step squared over six at most.
+        assert np.abs(want - [g[1] for g in got]).max() < 1e-3 * want.max()
+        assert np.trapezoid([g[1] for g in got], x) == pytest.approx(1, abs=0.01)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.plans.layers import RAW_TABLES
 from ledgerloom.sources import Lake, export_csv, ingest_table, read_csv, read_csv_head, scratch_folder
+from ledgerloom.sources.files import type_of_name
 
 
 def test_ingest_keeps_or_replaces_history(spark, tmp_path):
@@ -65,3 +66,57 @@ def test_scratch_follows_the_session():
 
 def test_raw_tables():
     assert len(RAW_TABLES) == 8
+
+
+def test_types_follow_the_header(spark, tmp_path):
+    """Only the header line is read for the schema, and a bad line is reported with its text."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    lines = ["SK_ID_CURR,NAME_TYPE,AMT_CREDIT,CNT_CHILDREN", "1,a,2.5,3", "2,b,oops,1", "3,c", "4,d,1,2,9", "5,,,", '6,"x,y",7,']
+    (raw / "T.csv").write_text("\n".join(lines) + "\n")
+    bronze = Lake(spark, f"{tmp_path}/bronze")
+    loaded = ingest_table(str(raw), bronze, "T", dt.date(2024, 1, 1))
+    assert (loaded.table, loaded.rows, loaded.rejected) == ("t", 3, 3)
+    kept = bronze.read("t")
+    assert kept.dtypes[:4] == [("sk_id_curr", "bigint"), ("name_type", "string"), ("amt_credit", "double"), ("cnt_children", "int")]
+    assert sorted(tuple(r)[:4] for r in kept.collect()) == [(1, "a", 2.5, 3), (5, None, None, None), (6, "x,y", 7.0, None)]
+    assert sorted(r["line"] for r in bronze.read("t_rejected").collect()) == ["2,b,oops,1", "3,c", "4,d,1,2,9"]
+    # A later clean load leaves no old complaint behind.
+    (raw / "T.csv").write_text("\n".join(lines[:2]) + "\n")
+    assert ingest_table(str(raw), bronze, "T", dt.date(2024, 1, 1)).rejected == 0
+    assert bronze.read("t_rejected").count() == 0
+
+
+@pytest.mark.parametrize("name,kind", [
+    ("SK_ID_PREV", "bigint"), ("sk_dpd_def", "int"), ("NAME_CONTRACT_STATUS", "string"), ("FLAG_OWN_CAR", "string"),
+    ("FLAG_DOCUMENT_3", "int"), ("EXT_SOURCE_1", "double"), ("FONDKAPREMONT_MODE", "string"), ("YEARS_BUILD_MODE", "double"),
+    ("DAYS_BIRTH", "int"), ("DAYS_LAST_DUE", "double"), ("AMT_REQ_CREDIT_BUREAU_DAY", "double"),
+])
+def test_type_of_name(name, kind):
+    assert type_of_name(name) == kind
+
+
+def test_header_with_other_names_is_an_error(spark, tmp_path):
+    (tmp_path / "T.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header|column"):
+        ingest_table(str(tmp_path), Lake(spark, f"{tmp_path}/bronze"), "T", schema="a int, c int")
+
+
+def test_tables_are_known_to_other_sessions(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/it's a lake")
+    assert lake.names() == []
+    lake.replace(spark.range(5), "plain")
+    lake.replace(spark.range(6).withColumn("day", F.col("id") % 2), "parted", ["day"])
+    assert lake.names() == ["parted", "plain"]
+    other = spark.newSession()
+    assert Lake(spark, lake.base).create_tables("known") == ["parted", "plain"]
+    assert other.sql("SELECT count(*), sum(id) FROM known.parted WHERE day = 1").first() == (3, 9)
+    # A new partition and a new schema are seen after the next registration; data survive a drop.
+    lake.replace(spark.range(6, 8).withColumn("day", F.lit(7)), "parted", ["day"], only_partitions_written=True)
+    lake.replace(spark.range(2).withColumn("more", F.lit("x")), "plain")
+    lake.create_tables("known")
+    assert other.sql("SELECT count(*) FROM known.parted").first()[0] == 8
+    assert other.table("known.plain").columns == ["id", "more"]
+    other.sql("DROP TABLE known.plain")
+    assert lake.read("plain").count() == 2
+    spark.sql("DROP DATABASE known CASCADE")
