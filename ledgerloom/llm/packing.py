@@ -63,6 +63,7 @@ class BulkEncoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words_of = word_splitter()
+        self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
     @staticmethod
@@ -134,14 +135,15 @@ class BulkEncoder:
         new = wanted - self.chunks.keys()
         if len(self.chunks) + len(new) > MEMORY:
             self.chunks.clear()
+            self.words.clear()
             new = wanted
-        plain = [c for c in new if c.isalpha()]
-        mixed = {c: self.words_of(c) for c in new if not c.isalpha() and c[0] != " "}
-        words = list({w for ws in mixed.values() for w in ws})
-        known = dict(zip(words, self.encode_words(words)))
-        self.chunks.update(zip(plain, self.encode_words(plain)))
-        for c, ws in mixed.items():
-            self.chunks[c] = b"".join([known[w] for w in ws])
+        # A word is encoded once, whether it stands alone or beside signs.
+        parts = {c: [c] if c.isalpha() else self.words_of(c) for c in new if c[0] != " "}
+        words = list({w for ws in parts.values() for w in ws} - self.words.keys())
+        self.words.update(zip(words, self.encode_words(words)))
+        known = self.words
+        for c, ws in parts.items():
+            self.chunks[c] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
         for c in new:
             if c[0] == " ":
                 self.chunks[c] = self.special[c[1:]].to_bytes(2, "little")
@@ -266,12 +268,17 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float) -> l
             seed = None
             continue
         rest = None
-        for doc in index.neighbours(seed, unused, 32).tolist():
-            unused[doc] = False
-            end = put(doc, 0)
-            if not filled or end < len(docs[doc]):
-                rest = (doc, end)
+        # Some neighbours at a time, until the window is full or none is left.
+        while rest is None:
+            near = index.neighbours(seed, unused, 32).tolist()
+            if not near:
                 break
+            for doc in near:
+                unused[doc] = False
+                end = put(doc, 0)
+                if not filled or end < len(docs[doc]):
+                    rest = (doc, end)
+                    break
         # A cut neighbour seeds the next window; without one the next document in order does.
         seed, start = rest if rest is not None and rest[1] < len(docs[rest[0]]) else (None, 0)
     return powers(out, sequence, filled)
