@@ -36,7 +36,7 @@ LEXICONS = {
 #: Phrases of abuse.
 PHRASES = ("shut up", "drop dead", "go to hell", "kill yourself", "hate you", "nobody likes you")
 #: Lengths of the beginnings of words that are mined, in characters.
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 LONG_TEXT = 60
 MEMORY = 400_000
 
@@ -50,7 +50,7 @@ def words_of(text: str) -> list[str]:
 
 def terms_of(word: str) -> list[str]:
     """The word, and its beginnings marked by a star."""
-    if len(word) < 4:
+    if len(word) < 3:
         return []
     return [word, *[word[:n] + "*" for n in PREFIXES if n < len(word)]]
 
@@ -111,36 +111,76 @@ class Voters:
         return np.concatenate([votes, *more], axis=1)
 
 
-def label_model(votes: np.ndarray, first: np.ndarray, rounds: int = 15, smooth: float = 1.0) -> np.ndarray:
-    """Posterior of label 1 for every row, by expectation maximisation from the posteriors ``first``.
+def _tree(pairs: np.ndarray, prior: float) -> list[int]:
+    """The parent of every voter (-1: none) in the tree of the most shared information given the label.
 
-    Each voter has a table of votes by label.  What voters say beyond independence given
-    the label is measured as correlation, and a voter counts for less by as much as
-    others repeat it.
+    ``pairs[y, i, a, j, b]`` is the share of rows of label y in which voter i says a and voter j says b.
+    """
+    k = pairs.shape[1]
+    own = np.einsum("yiaia->yia", pairs)
+    apart = own[:, :, :, None, None] * own[:, None, None, :, :]
+    shared = (pairs * (np.log(pairs) - np.log(apart))).sum(axis=(2, 4))
+    gain = (1 - prior) * shared[0] + prior * shared[1]
+    parent, best, nearest = [-1] * k, np.full(k, -np.inf), np.zeros(k, int)
+    left = set(range(1, k))
+    last = 0
+    while left:
+        for j in left:
+            if gain[last, j] > best[j]:
+                best[j], nearest[j] = gain[last, j], last
+        last = max(sorted(left), key=lambda j: best[j])
+        left.remove(last)
+        parent[last] = int(nearest[last])
+    return parent
+
+
+def likelihood(votes: np.ndarray, q: np.ndarray, prior: float, smooth: float) -> tuple[np.ndarray, list[int]]:
+    """Log odds of the votes of every row under the labels' models fitted to ``q``, and the tree used.
+
+    A label's model says each vote given the vote of its parent in the tree, so what
+    voters repeat of each other counts once.
     """
-    q = first.astype(float)
     n, k = votes.shape
+    said = (votes[:, :, None] == np.array([-1, 0, 1])).astype(float).reshape(n, k * 3)
+    pairs = np.empty((2, k, 3, k, 3))
+    for y, w in ((0, 1 - q), (1, q)):
+        joint = (said.T @ (said * w[:, None])).reshape(k, 3, k, 3) + smooth / 9
+        own = said.T @ w
+        for i in range(k):
+            # A voter agrees with itself.
+            joint[i, :, i, :] = np.diag(own[3 * i : 3 * i + 3] + smooth / 3)
+        pairs[y] = joint / (w.sum() + smooth)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        safe = np.where(pairs > 0, pairs, 1e-300)
+    parent = _tree(safe, prior)
+    own = np.einsum("yiaia->yia", safe)
+    at = votes + 1
+    odds = np.zeros(n)
+    for i, p in enumerate(parent):
+        table = np.log(own[:, i]) if p < 0 else np.log(safe[:, p, :, i, :]) - np.log(own[:, p])[:, :, None]
+        odds += (table[1] - table[0])[at[:, i]] if p < 0 else (table[1] - table[0])[at[:, p], at[:, i]]
+    return odds, parent
+
+
+def label_model(
+    votes: np.ndarray, labels: np.ndarray, trust: float = 0.95, rounds: int = 500, smooth: float = 1.0
+) -> np.ndarray:
+    """Posterior of label 1 for every row, by expectation maximisation to convergence.
+
+    The share of the label stays that of ``labels``, and a label is evidence of its own,
+    right in ``trust`` of cases; so votes explain the labels instead of drifting from them.
+    The models of the votes are those of ``likelihood``.
+    """
+    prior = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3))
+    evidence = np.where(labels == 1, 1.0, -1.0) * np.log(trust / (1 - trust)) + np.log(prior / (1 - prior))
+    q = np.where(labels == 1, trust, 1 - trust)
     for _ in range(rounds):
-        prior = np.clip(q.mean(), 1e-3, 1 - 1e-3)
-        tables = np.zeros((2, k, 3))
-        apart = np.zeros((k, k))
-        for y, w in ((0, 1 - q), (1, q)):
-            total = max(w.sum(), 1e-9)
-            for v in (-1, 0, 1):
-                tables[y, :, v + 1] = (w @ (votes == v) + smooth) / (total + 3 * smooth)
-            mean = w @ votes / total
-            centred = (votes - mean) * np.sqrt(w)[:, None]
-            covariance = centred.T @ centred / total
-            scale = np.sqrt(np.diag(covariance)) + 1e-6
-            apart += np.abs(covariance / np.outer(scale, scale)) * (prior if y else 1 - prior)
-        np.fill_diagonal(apart, 0)
-        weight = 1 / (1 + apart.sum(axis=1))
-        gain = np.log(tables[1]) - np.log(tables[0])
-        score = np.log(prior / (1 - prior)) + (gain[np.arange(k), votes + 1] * weight).sum(axis=1)
-        now = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        if np.abs(now - q).max(initial=0) < 1e-6:
-            return now
+        odds, _ = likelihood(votes, q, prior, smooth)
+        now = 1 / (1 + np.exp(-np.clip(evidence + odds, -30, 30)))
+        change = np.abs(now - q).max(initial=0)
         q = now
+        if change < 1e-7:
+            break
     return q
 
 
@@ -186,7 +226,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def mine(sample: DataFrame, most: int = 600, tiers: int = 3, least: int = 8, ratio: float = 30.0) -> dict[str, int]:
+def mine(sample: DataFrame, most: int = 600, tiers: int = 3, least: int = 8, ratio: float = 40.0) -> dict[str, int]:
     """The ``most`` best terms of texts labelled ``y``, with their tier; equal texts count once."""
     texts = sample.dropDuplicates(["text", "y"]).select("text", "y")
     n1, n0 = texts.agg(F.count(F.when(F.col("y") == 1, 1)), F.count(F.when(F.col("y") == 0, 1))).first()
@@ -198,7 +238,7 @@ def mine(sample: DataFrame, most: int = 600, tiers: int = 3, least: int = 8, rat
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         .withColumn("odds", odds)
-        .filter((F.col("toxic") >= max(least, n1 // 100)) & (F.col("odds") >= ratio))
+        .filter((F.col("toxic") >= max(min(least, 4 + n1 // 60), n1 // 100)) & (F.col("odds") >= ratio))
         .orderBy(F.desc(F.col("toxic") * F.log(F.col("odds"))), "term")
         .limit(most)
         .collect()
@@ -236,7 +276,7 @@ def fit(docs: DataFrame, labelled: DataFrame, label: str = "toxic", sample: int
         x = np.zeros((4, width))
         x[:, 0], x[2:, 2], x[3, 3] = 100, 2, 1
         y = np.array([0, 0, 1, 1.0])
-    posterior = label_model(Voters.votes(x), np.where(y == 1, 0.95, 0.05))
+    posterior = label_model(Voters.votes(x), y)
     return Model(mined, train_linear(Voters.features(x), posterior))
 
 

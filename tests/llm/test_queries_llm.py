@@ -136,12 +136,24 @@ def test_classifiers(spark, case, name, least):
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= least)
 
 
-@pytest.mark.parametrize("name, label", [("op5_quality_classifier", "quality"), ("op7_toxicity", "toxic")])
-def test_held_out_accuracy(spark, name, label):
-    folder = "/root/testdata/sf0.01"
+def held_out(spark, name, label, folder):
     truth = pd.read_parquet(f"{folder}/labels.parquet").set_index("doc_id")[label]
-    held = [r for r in collected(spark, name, folder) if r["held_out"] and r["doc_id"] in truth.index]
-    assert np.mean([truth[r["doc_id"]] == r["predicted"] for r in held]) >= 0.9
+    rows = [r for r in collected(spark, name, folder) if r["held_out"] and r["doc_id"] in truth.index]
+    return np.array([(truth[r["doc_id"]], r["predicted"], r["score"]) for r in rows])
+
+
+def test_quality_of_held_out_rows(spark):
+    truth, predicted, score = held_out(spark, "op5_quality_classifier", "quality", "/root/testdata/sf0.01").T
+    good, bad = score[truth == 1], score[truth == 0]
+    assert (good[:, None] > bad).mean() >= 0.95 and (predicted == truth).mean() >= 0.95
+
+
+@pytest.mark.parametrize("size, recall, precision", [("0.01", 0.6, 0.75), ("0.1", 0.9, 0.9)])
+def test_toxicity_of_held_out_rows(spark, size, recall, precision):
+    """A never toxic model has recall 0.  The small set has six toxic rows, two of words never seen."""
+    truth, predicted, _ = held_out(spark, "op7_toxicity", "toxic", f"/root/testdata/sf{size}").T
+    caught = (truth * predicted).sum()
+    assert caught / truth.sum() >= recall and caught / predicted.sum() >= precision
 
 
 def check_pieces(pieces, docs, tokenizer):
