@@ -33,7 +33,7 @@ from ledgerloom.llm.shared import pieces_of, same, share, shared_value, stored
 
 WINDOW, CLOSING_ID = 2048, 1
 #: Chunks remembered by one worker.
-MEMORY = 800_000
+MEMORY = 1_200_000
 #: Tokens of a shard, and the terms of a seed that are asked for.
 SHARD_TOKENS, ASKED = 3_000_000, 24
 K1, B = 1.2, 0.75
@@ -64,7 +64,7 @@ class BulkEncoder:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words_of = word_splitter()
         self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.chunks = Chunks()
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
@@ -130,25 +130,48 @@ class BulkEncoder:
         return _chunks(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parted = [self.split(t) for t in texts]
-        wanted = {c for p in parted for c in p}
-        new = wanted - self.chunks.keys()
-        if len(self.chunks) + len(new) > MEMORY:
+        """Ids of each text; those with a chunk not met before are put together once it is learned."""
+        if len(self.chunks) > MEMORY:
             self.chunks.clear()
             self.words.clear()
-            new = wanted
+        look_up = self.chunks.__getitem__
+        out, late = [], []
+        for i, text in enumerate(texts):
+            chunks = self.split(text)
+            out.append(b"".join(map(look_up, chunks)))
+            if self.chunks.unknown:
+                self.chunks.unknown = False
+                late.append((i, chunks))
+        self.learn()
+        for i, chunks in late:
+            out[i] = b"".join(map(look_up, chunks))
+        return out
+
+    def learn(self) -> None:
+        """Encodes the chunks looked up in vain."""
         # A word is encoded once, whether it stands alone or beside signs.
-        parts = {c: [c] if c.isalpha() else self.words_of(c) for c in new if c[0] != " "}
+        parts = {c: [c] if c.isalpha() else self.words_of(c) for c in self.chunks.new if c[0] != " "}
         words = list({w for ws in parts.values() for w in ws} - self.words.keys())
         self.words.update(zip(words, self.encode_words(words)))
         known = self.words
         for c, ws in parts.items():
             self.chunks[c] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
-        for c in new:
-            if c[0] == " ":
-                self.chunks[c] = self.special[c[1:]].to_bytes(2, "little")
-        look_up = self.chunks.__getitem__
-        return [b"".join(map(look_up, p)) for p in parted]
+        for c in self.chunks.new - parts.keys():
+            self.chunks[c] = self.special[c[1:]].to_bytes(2, "little")
+        self.chunks.new.clear()
+
+
+class Chunks(dict):
+    """Ids of chunks; those looked up in vain are noted."""
+
+    def __init__(self) -> None:
+        self.new: set[str] = set()
+        self.unknown = False
+
+    def __missing__(self, chunk: str) -> bytes:
+        self.new.add(chunk)
+        self.unknown = True
+        return b""
 
 
 def tokenized(docs: DataFrame, file: str) -> DataFrame:
