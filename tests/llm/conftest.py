@@ -18,8 +18,8 @@ def odd_folder(spark, tmp_path_factory, odd_texts):
     """Tables of odd rows; documents also has columns that operators use inside."""
     folder = str(tmp_path_factory.mktemp("odd"))
     clash = "score int, s string, key string, fp string, range int, part int, mark int, ids string, n int, y int"
-    rows = [(i, t, "en" if i and i % 2 else None, *[None] * 10) for i, t in odd_texts]
-    spark.createDataFrame(rows, f"doc_id long, text string, lang string, {clash}").write.parquet(f"{folder}/documents.parquet")
+    rows = [(i, t, "en" if i and i % 2 else None, f"s{i % 3}" if i else None, *[None] * 10) for i, t in odd_texts]
+    spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, {clash}").write.parquet(f"{folder}/documents.parquet")
     labels = [(i, i % 2 if i < 9 else None, (i + 1) % 2) for i in range(1, 11)] + [(None, 1, 1), (5, 0, 1)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     vectors = [(0, [0.5, -0.25]), (1, [0.5, -0.25]), (2, [0.5, -0.25]), (3, None), (4, [float("nan"), 1.0]), (5, [None, 1.0]),
@@ -27,13 +27,17 @@ def odd_folder(spark, tmp_path_factory, odd_texts):
     spark.createDataFrame([(i, v, 1) for i, v in vectors], "vec_id long, embedding array<float>, block int").write.parquet(
         f"{folder}/embeddings.parquet"
     )
+    turns = [(i, turn, role, text, 1) for i, text in odd_texts for turn, role in ((1, "assistant"), (0, "user"), (None, None))]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, key int").write.parquet(
+        f"{folder}/conversations.parquet"
+    )
     return folder
 
 
 @pytest.fixture(scope="session")
 def empty_folder(spark, tmp_path_factory, odd_folder):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "embeddings"):
+    for name in ("documents", "labels", "embeddings", "conversations"):
         spark.read.parquet(f"{odd_folder}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return folder
 
