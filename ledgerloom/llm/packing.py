@@ -63,7 +63,6 @@ class BulkEncoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words_of = word_splitter()
-        self.words: dict[str, bytes] = {}
         self.chunks = Chunks()
 
     @staticmethod
@@ -133,7 +132,6 @@ class BulkEncoder:
         """Ids of each text; those with a chunk not met before are put together once it is learned."""
         if len(self.chunks) > MEMORY:
             self.chunks.clear()
-            self.words.clear()
         look_up = self.chunks.__getitem__
         out, late = [], []
         for i, text in enumerate(texts):
@@ -148,17 +146,22 @@ class BulkEncoder:
         return out
 
     def learn(self) -> None:
-        """Encodes the chunks looked up in vain."""
-        # A word is encoded once, whether it stands alone or beside signs.
-        parts = {c: [c] if c.isalpha() else self.words_of(c) for c in self.chunks.new if c[0] != " "}
-        words = list({w for ws in parts.values() for w in ws} - self.words.keys())
-        self.words.update(zip(words, self.encode_words(words)))
-        known = self.words
-        for c, ws in parts.items():
-            self.chunks[c] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
-        for c in self.chunks.new - parts.keys():
-            self.chunks[c] = self.special[c[1:]].to_bytes(2, "little")
-        self.chunks.new.clear()
+        """Encodes the chunks looked up in vain; their words are chunks of their own."""
+        chunks, words, mixed = self.chunks, set(), {}
+        for c in chunks.new:
+            if c.isalpha():
+                words.add(c)
+            elif c[0] != " ":
+                mixed[c] = self.words_of(c)
+            else:
+                chunks[c] = self.special[c[1:]].to_bytes(2, "little")
+        words.update(w for ws in mixed.values() for w in ws if w not in chunks)
+        todo = list(words)
+        chunks.update(zip(todo, self.encode_words(todo)))
+        for c, ws in mixed.items():
+            if len(ws) > 1:
+                chunks[c] = b"".join([chunks[w] for w in ws])
+        chunks.new.clear()
 
 
 class Chunks(dict):
@@ -207,14 +210,30 @@ def tokenized(docs: DataFrame, file: str) -> DataFrame:
     )
 
 
+def distinct_ids(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ids of each document in rising order: id, how often, and the document's number.
+
+    One sort of all of them, with the document above the id.
+    """
+    if not docs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind = np.uint32 if len(docs) <= 1 << 16 else np.uint64
+    keys = np.repeat(np.arange(len(docs), dtype=kind), [len(d) for d in docs])
+    keys = np.sort(keys << kind(16) | np.concatenate(docs).astype(kind))
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+    found = keys[first]
+    times = np.diff(np.append(first, len(keys)))
+    return (found & kind(0xFFFF)).astype(np.int64), times, (found >> kind(16)).astype(np.int64)
+
+
 def document_frequencies(tokens: DataFrame) -> dict[int, int]:
     """In how many documents each id occurs; one number per entry of the vocabulary."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << 16, np.int64)
         for b in batches:
-            for ids in b.column(0).to_pylist():
-                counts[np.unique(np.frombuffer(ids, "<u2"))] += 1
+            terms, _, _ = distinct_ids([np.frombuffer(ids, "<u2") for ids in b.column(0).to_pylist()])
+            counts += np.bincount(terms, minlength=1 << 16)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used])], ["id", "n"])
 
@@ -226,11 +245,9 @@ class Bm25Index:
     """Postings of a shard: per term the documents and their weights."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float) -> None:
-        found = [np.unique(d, return_counts=True) for d in docs]
-        sizes = np.array([len(t) for t, _ in found])
-        terms = np.concatenate([t for t, _ in found]).astype(np.int64)
-        times = np.concatenate([c for _, c in found]).astype(float)
-        owner = np.repeat(np.arange(len(docs)), sizes)
+        terms, counts, owner = distinct_ids(docs)
+        times = counts.astype(float)
+        sizes = np.bincount(owner, minlength=len(docs))
         length = np.array([len(d) for d in docs])[owner]
         weight = idf[terms] * times * (K1 + 1) / (times + K1 * (1 - B + B * length / mean_length))
         self.edges = np.concatenate([[0], np.cumsum(sizes)])

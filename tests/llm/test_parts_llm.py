@@ -85,3 +85,33 @@ def test_decode_of_kept_ids_is_the_text(spark):
     for r in rows.collect():
         ids = PLAIN.encode(r.text or "", add_special_tokens=False).ids
         assert r.ids == ids and r.back == PLAIN.decode(ids, skip_special_tokens=False)
+
+
+def test_distinct_ids_equal_one_unique_per_document():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 40, 70_000):
+        docs = [rng.integers(0, 50_000, rng.integers(0 if n == 40 else 1, 4 if n > 100 else 30)).astype("<u2") for _ in range(n)]
+        terms, times, owner = packing.distinct_ids(docs)
+        want = [(t, c, i) for i, d in enumerate(docs) for t, c in zip(*np.unique(d, return_counts=True))]
+        assert list(zip(terms.tolist(), times.tolist(), owner.tolist())) == want
+
+
+def test_neighbours_equal_a_plain_bm25():
+    """Scores and order of unused documents for seeds of few terms, against sums over all documents."""
+    rng = np.random.default_rng(6)
+    docs = [rng.integers(0, 60, rng.integers(1, 25)).astype("<u2") for _ in range(80)]
+    idf, mean = rng.random(1 << 16), sum(map(len, docs)) / len(docs)
+    index = packing.Bm25Index(docs, idf, mean)
+
+    def weight(doc, term):
+        times = int((doc == term).sum())
+        return idf[term] * times * (packing.K1 + 1) / (times + packing.K1 * (1 - packing.B + packing.B * len(doc) / mean))
+
+    for seed in range(20):
+        unused = rng.random(len(docs)) < 0.7
+        unused[seed] = False
+        # Up to ASKED terms all count, as here.
+        score = {i: sum(weight(d, t) for t in set(docs[seed].tolist())) for i, d in enumerate(docs) if unused[i]}
+        got = index.neighbours(seed, unused, 1000).tolist()
+        assert set(got) == {i for i, s in score.items() if s > 0}
+        assert np.allclose([score[i] for i in got], sorted((s for s in score.values() if s > 0), reverse=True))
