@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,6 +16,7 @@ from ledgerloom.sources.files import (
     lower_names,
     path_exists,
     read_csv_checked,
+    written,
 )
 
 
@@ -145,27 +146,23 @@ def ingest_table(
 ) -> Loaded:
     """One raw CSV to a date-partitioned table of the same name in lower case.
 
-    Types come from ``schema`` or else from the header's names; the data are read once.
-    Lines that do not fit are counted on the way and go, with their text, file and what
-    could be read of them, to the table ``<name>_rejected``, for which the file is read
-    again.  By default a load replaces
+    Types come from ``schema`` or else from the header's names.  The file is read once, into
+    a scratch table; lines that do not fit go, with their text, file and what could be read
+    of them, to the table ``<name>_rejected``.  By default a load replaces
     the table; with ``keep_history`` it replaces only the partition of its own date.
     """
     path = f"{raw_base.rstrip('/')}/{name}.csv"
     parsed = read_csv_checked(bronze.spark, path, schema or header_schema(bronze.spark, path))
     bad = F.col(CORRUPT).isNotNull()
-    counts = Observation()
-    counted = parsed.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected"))
+    staged = written(parsed.withColumn("_file", F.when(bad, F.input_file_name())), "ingest")
+    found = staged.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected")).first()
     table = name.lower()
     how = {"partition_by": ["ingest_date"], "only_partitions_written": keep_history}
-    bronze.replace(stamp_ingest(lower_names(counted.where(~bad).drop(CORRUPT)), ingest_date), table, **how)
-    found = counts.get
+    rows = staged.where(~bad).drop(CORRUPT, "_file")
+    bronze.replace(stamp_ingest(lower_names(rows), ingest_date), table, **how)
     if found["rejected"] or (not keep_history and bronze.exists(f"{table}_rejected")):
-        # All columns, as those left out would not be checked against their types.
-        readable = F.to_json(F.struct(*[c for c in parsed.columns if c != CORRUPT]))
-        lines = parsed.where(bad).select(
-            F.col(CORRUPT).alias("line"), F.input_file_name().alias("file"), readable.alias("readable")
-        )
+        readable = F.to_json(F.struct(*rows.columns)).alias("readable")
+        lines = staged.where(bad).select(F.col(CORRUPT).alias("line"), F.col("_file").alias("file"), readable)
         # Without history the table is one that an empty load can replace, too.
         bronze.replace(stamp_ingest(lines, ingest_date), f"{table}_rejected", **(how if keep_history else {}))
     return Loaded(table, found["lines"] - found["rejected"], found["rejected"])
