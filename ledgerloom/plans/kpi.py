@@ -260,6 +260,7 @@ def default_rate(fact_application: DataFrame, dim_contract: DataFrame) -> DataFr
     )
 
 
+# Days past due that count as delinquent.
 DELINQUENCY_BOUNDS = (30, 60, 90)
 
 

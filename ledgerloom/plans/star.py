@@ -21,7 +21,7 @@ from ledgerloom.functions import (
 from ledgerloom.operators.columns import project
 from ledgerloom.sources import Lake
 
-# --- fixed values: names of the source columns ------------------------------
+# --- fixed values: columns of the sources and of the star tables, day offsets behind dates, labels ---
 
 DOCUMENT_FLAGS = [f"flag_document_{i}" for i in range(2, 22)]
 REQUEST_COUNTS = [
@@ -40,12 +40,12 @@ STATUS_LABELS = {
     "5": "DPD_120_plus",
 }
 
-BUREAU_COLUMNS = """
-    sk_id_curr sk_id_bureau credit_active credit_currency credit_date credit_day_overdue
-    enddate_date close_date amt_credit_max_overdue cnt_credit_prolong amt_credit_sum
-    amt_credit_sum_debt amt_credit_sum_limit amt_credit_sum_overdue credit_type update_date
-    amt_annuity
-""".split()
+BUREAU_COLUMNS = [
+    "sk_id_curr", "sk_id_bureau", "credit_active", "credit_currency", "credit_date",
+    "credit_day_overdue", "enddate_date", "close_date", "amt_credit_max_overdue",
+    "cnt_credit_prolong", "amt_credit_sum", "amt_credit_sum_debt", "amt_credit_sum_limit",
+    "amt_credit_sum_overdue", "credit_type", "update_date", "amt_annuity",
+]
 BUREAU_DATES = {
     "credit_date": "days_credit",
     "enddate_date": "days_credit_enddate",
@@ -53,17 +53,18 @@ BUREAU_DATES = {
     "update_date": "days_credit_update",
 }
 
-PREVIOUS_COLUMNS = """
-    sk_id_curr sk_id_prev application_date_id name_contract_type amt_annuity amt_application
-    amt_credit amt_down_payment amt_goods_price weekday_appr_process_start
-    hour_appr_process_start flag_last_appl_per_contract nflag_last_appl_in_day
-    rate_down_payment rate_interest_primary rate_interest_privileged name_cash_loan_purpose
-    name_contract_status decision_date name_payment_type code_reject_reason name_type_suite
-    name_client_type name_goods_category name_portfolio name_product_type channel_type
-    sellerplace_area name_seller_industry cnt_payment name_yield_group product_combination
-    first_drawing_date first_due_date last_due_1st_date last_due_date termination_date
-    nflag_insured_on_approval
-""".split()
+PREVIOUS_COLUMNS = [
+    "sk_id_curr", "sk_id_prev", "application_date_id", "name_contract_type", "amt_annuity",
+    "amt_application", "amt_credit", "amt_down_payment", "amt_goods_price",
+    "weekday_appr_process_start", "hour_appr_process_start", "flag_last_appl_per_contract",
+    "nflag_last_appl_in_day", "rate_down_payment", "rate_interest_primary",
+    "rate_interest_privileged", "name_cash_loan_purpose", "name_contract_status",
+    "decision_date", "name_payment_type", "code_reject_reason", "name_type_suite",
+    "name_client_type", "name_goods_category", "name_portfolio", "name_product_type",
+    "channel_type", "sellerplace_area", "name_seller_industry", "cnt_payment",
+    "name_yield_group", "product_combination", "first_drawing_date", "first_due_date",
+    "last_due_1st_date", "last_due_date", "termination_date", "nflag_insured_on_approval",
+]
 PREVIOUS_DATES = {
     "decision_date": "days_decision",
     "first_drawing_date": "days_first_drawing",
@@ -73,16 +74,16 @@ PREVIOUS_DATES = {
     "termination_date": "days_termination",
 }
 
-CARD_AMOUNTS = """
-    amt_balance amt_credit_limit_actual amt_drawings_atm_current amt_drawings_current
-    amt_drawings_other_current amt_drawings_pos_current amt_inst_min_regularity
-    amt_payment_current amt_payment_total_current amt_receivable_principal amt_recivable
-    amt_total_receivable
-""".split()
-CARD_COUNTS = """
-    cnt_drawings_atm_current cnt_drawings_current cnt_drawings_other_current
-    cnt_drawings_pos_current cnt_instalment_mature_cum
-""".split()
+CARD_AMOUNTS = [
+    "amt_balance", "amt_credit_limit_actual", "amt_drawings_atm_current",
+    "amt_drawings_current", "amt_drawings_other_current", "amt_drawings_pos_current",
+    "amt_inst_min_regularity", "amt_payment_current", "amt_payment_total_current",
+    "amt_receivable_principal", "amt_recivable", "amt_total_receivable",
+]
+CARD_COUNTS = [
+    "cnt_drawings_atm_current", "cnt_drawings_current", "cnt_drawings_other_current",
+    "cnt_drawings_pos_current", "cnt_instalment_mature_cum",
+]
 
 # --- dimensions ---------------------------------------------------------------
 
