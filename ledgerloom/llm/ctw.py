@@ -3,13 +3,15 @@
 A text, A-Z lower-cased, is coded byte by byte and ended by 0xFF, which UTF-8 never
 holds; every byte is eight binary decisions.  The counts of each decision after each
 context of 0 to ``DEPTH`` bytes give Krichevsky-Trofimov estimates, and the weighting
-mixes them over all depths.  The tree keeps the most frequent contexts, at most
-``contexts`` of them (a documented size of the model, not of the data counted: all
-other contexts of a node are counted together as one leaf below it).
+mixes them over all depths.  The tree keeps every context of the texts learned from.
 
-Counts are taken by every task over its texts, merged by shuffles, and only those of
-the kept contexts, bounded in number, are collected to weigh the tree.  Scoring
-mixes no further learning in, so the score of a text depends on nothing but the text.
+Counts are taken by every task over its texts and merged by shuffles.  The subtrees below
+the contexts of two bytes are weighed side by side, each whole in one task; only depth 0
+and 1, at most 256 contexts, are weighed in the driver.  Frequent grams, at most
+``carried`` of them, travel with the tasks that score; all others are joined, and those
+never learned are weighed in the same tree with a count of zero, so every score is that
+of the whole tree.  Scoring mixes no further learning in, so the score of a text depends
+on nothing but the text.
 
 The base is a unigram word model.  Frequent words, at most ``head`` of them, travel
 with the tasks; the counts of all other words are joined.
@@ -23,11 +25,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,8 @@ END = b" "
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Bytes worked on at a time, and distinct grams a task holds before it hands them on.
 AT_ONCE, HELD = 500_000, 3_000_000
+#: Depth whose subtrees are weighed whole in one task, and grams weighed at a time.
+CUT, WEIGHED = 2, 200_000
 
 
 def lowered(text: str | None) -> bytes:
@@ -192,6 +197,8 @@ def _log_bytes(p_one: np.ndarray) -> np.ndarray:
 def weigh(nodes: list[dict[int, int]], counts: list[np.ndarray]) -> np.ndarray:
     """log10 probabilities of the bytes after each kept context, rows in the order of depth, then number.
 
+    For trees that fit one process, where contexts may be left out; ``Subtrees`` weighs whole ones.
+
     ``nodes[d]`` numbers the kept contexts of d bytes, ``counts[d]`` has their byte counts.
     From the deepest up, the probability of what a node has seen is half its own estimate
     and half the product of those below it; from the root down, that ratio is the weight
@@ -238,6 +245,152 @@ def weigh(nodes: list[dict[int, int]], counts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(out)
 
 
+class Subtrees:
+    """The tree below contexts of ``CUT`` bytes, over some grams: all those of each such context.
+
+    Grams are sorted along their paths, latest byte first, so that what shares a context
+    lies together.  The eight decisions of a byte are weighed one after the other.
+    """
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray) -> None:
+        path = np.zeros(len(grams), np.uint64)
+        for back in range(1, DEPTH + 1):
+            path = path << np.uint64(8) | grams >> np.uint64(8 * back) & np.uint64(255)
+        keys = path << np.uint64(8) | grams & np.uint64(255)
+        self.order = np.argsort(keys, kind="stable")
+        #: By depth: sorted contexts above their next byte, counts, and the place of each in the depth above.
+        self.keys, self.n = {DEPTH: keys[self.order]}, {DEPTH: n[self.order].astype(float)}
+        self.above: dict[int, np.ndarray] = {}
+        for d in range(DEPTH - 1, CUT - 1, -1):
+            longer = self.keys[d + 1]
+            shorter = longer >> np.uint64(16) << np.uint64(8) | longer & np.uint64(255)
+            self.keys[d], self.above[d + 1] = np.unique(shorter, return_inverse=True)
+            self.n[d] = np.bincount(self.above[d + 1], self.n[d + 1], len(self.keys[d]))
+
+    def _weigh(self, bit: int):
+        """By depth: the node of each gram, each node's first gram, its own estimate, weight and ratio; from the deepest up."""
+        out, below = {}, None
+        for d in range(DEPTH, CUT - 1, -1):
+            keys = self.keys[d]
+            nodes = keys >> np.uint64(8 - bit)
+            new = np.concatenate([[True], nodes[1:] != nodes[:-1]])
+            first, node = np.flatnonzero(new), np.cumsum(new) - 1
+            one = (keys >> np.uint64(7 - bit) & np.uint64(1)).astype(float)
+            ones = np.bincount(node, self.n[d] * one, len(first))
+            zeros = np.bincount(node, self.n[d] * (1 - one), len(first))
+            alone = _kt(zeros, ones)
+            if d == DEPTH:
+                weighted, ratio = alone, np.ones(len(first))
+            else:
+                split = np.bincount(node[self.above[d + 1][out[d + 1][1]]], below, len(first))
+                weighted = np.logaddexp(alone, split) - math.log(2)
+                ratio = np.exp(alone - math.log(2) - weighted)
+            out[d] = (node, first, (ones + 0.5) / (zeros + ones + 1), weighted, ratio)
+            below = weighted
+        return out
+
+    def sums(self) -> np.ndarray:
+        """Weighted log probabilities, added up at the decisions of the contexts of ``CUT`` - 1 = 1 byte: 256 rows."""
+        out = np.zeros((256, 255))
+        for bit in range(8):
+            _, first, _, weighted, _ = self._weigh(bit)[CUT]
+            keys = self.keys[CUT][first]
+            last = (keys >> np.uint64(16)).astype(np.int64)
+            prefix = ((keys & np.uint64(255)) >> np.uint64(8 - bit)).astype(np.int64)
+            np.add.at(out, (last, (1 << bit) - 1 + prefix), weighted)
+        return out
+
+    def logs(self, said: np.ndarray, unsaid: np.ndarray) -> np.ndarray:
+        """log10 probability of the byte of each gram after its context, given what depth 1 has said."""
+        out = np.zeros(len(self.order))
+        for bit in range(8):
+            levels = self._weigh(bit)
+            for d in range(CUT, DEPTH + 1):
+                node, first, own, _, ratio = levels[d]
+                if d == CUT:
+                    keys = self.keys[d][first]
+                    last = (keys >> np.uint64(16)).astype(np.int64)
+                    at = (1 << bit) - 1 + ((keys & np.uint64(255)) >> np.uint64(8 - bit)).astype(np.int64)
+                    now, left = said[last, at], unsaid[last, at]
+                else:
+                    parents = levels[d - 1][0][self.above[d][first]]
+                    now, left = now[parents], left[parents]
+                now, left = now + left * ratio * own, left * (1 - ratio)
+            p = np.clip(now, 1e-9, 1 - 1e-9)[levels[DEPTH][0]]
+            one = (self.keys[DEPTH] >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
+            out[self.order] += np.log10(np.where(one, p, 1 - p))
+        return out
+
+
+def said_at_one(counts: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What depths 0 and 1 say at each decision, and the weight they leave to longer contexts.
+
+    ``counts`` has the bytes after each single byte, ``below`` the sums of the subtrees.
+    """
+    own, ratio = [None, None], [None, None]
+    split = below
+    for d, level in ((1, counts), (0, counts.sum(axis=0, keepdims=True))):
+        zeros, ones = _decisions(level)
+        alone = _kt(zeros, ones)
+        weighted = np.logaddexp(alone, split) - math.log(2)
+        own[d], ratio[d] = (ones + 0.5) / (zeros + ones + 1), np.exp(alone - math.log(2) - weighted)
+        split = weighted.sum(axis=0, keepdims=True)
+    said, unsaid = ratio[0] * own[0], 1 - ratio[0]
+    return said + unsaid * ratio[1] * own[1], unsaid * (1 - ratio[1])
+
+
+def _subtrees(grams: DataFrame, build: Callable[[np.ndarray, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``build`` over the rows (gram, n), some subtrees at a time, every one whole."""
+    mask = (1 << 8 * CUT) - 1 << 8
+
+    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for b in batches:
+            gram, n = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
+            held.append((gram, n))
+            size += len(gram)
+            if size <= WEIGHED:
+                continue
+            gram, n = (np.concatenate(x) for x in zip(*held))
+            # The last subtree may go on in the next batch.
+            whole = np.flatnonzero((gram & mask) != (gram[-1] & mask))
+            end = int(whole[-1]) + 1 if len(whole) else 0
+            if end:
+                yield from build(gram[:end].view(np.uint64), n[:end])
+            held, size = [(gram[end:], n[end:])], len(gram) - end
+        if size:
+            gram, n = (np.concatenate(x) for x in zip(*held))
+            yield from build(gram.view(np.uint64), n)
+
+    cut = F.col("gram").bitwiseAND(F.lit(mask))
+    return (
+        grams.select("gram", "n", cut.alias("cut"))
+        .repartition("cut")
+        .sortWithinPartitions("cut")
+        .select("gram", "n")
+        .mapInArrow(built, schema)
+    )
+
+
+def _sums(gram: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    sums = Subtrees(gram, n).sums()
+    last, at = np.nonzero(sums)
+    yield pa.RecordBatch.from_arrays([pa.array(last), pa.array(at), pa.array(sums[last, at])], ["last", "at", "below"])
+
+
+def gram_logs(grams: DataFrame, top, unlearned: bool = False) -> DataFrame:
+    """gram, n and log10 probability of every gram, or with ``unlearned`` only of those counted zero times."""
+
+    def build(gram: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        logs = Subtrees(gram, n).logs(*shared_value(top))
+        keep = n == 0 if unlearned else np.ones(len(n), bool)
+        columns = [gram.view(np.int64)[keep], n[keep], logs[keep]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "n", "log"])
+
+    return _subtrees(grams, build, "gram long, n long, log double")
+
+
 class Scorer:
     """The weighted tree, and the head of the word counts, ready for look-ups."""
 
@@ -249,11 +402,13 @@ class Scorer:
         self.bits = max(4, int(len(keys) * 4).bit_length())
         self.slots = np.full(1 << self.bits, EMPTY, np.uint64)
         self.rows = np.zeros(1 << self.bits, np.int64)
-        for key, row in zip(keys, range(len(keys))):
-            at = int(self.slot(np.array([key], np.uint64))[0])
-            while self.slots[at] != EMPTY:
-                at = (at + 1) & (len(self.slots) - 1)
-            self.slots[at], self.rows[at] = key, row
+        at, todo = self.slot(keys), np.arange(len(keys))
+        while len(todo):
+            free = self.slots[at] == EMPTY
+            self.slots[at[free]] = keys[todo[free]]
+            done = self.slots[at] == keys[todo]
+            self.rows[at[done]] = todo[done]
+            at, todo = (at[~done] + 1) & (len(self.slots) - 1), todo[~done]
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -303,12 +458,44 @@ class Scorer:
         return out
 
 
+class GramScorer(Scorer):
+    """The frequent grams with their log10 probabilities, and the head of the word counts."""
+
+    def __init__(self, grams: np.ndarray, logs: np.ndarray, head: dict[bytes, int]) -> None:
+        super().__init__(grams, logs, head, 0)
+
+    def logs_and_rest(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By text: the log10 probability of its frequent grams; and all others: text, gram, how often."""
+        sizes = np.array([len(t) + 1 for t in texts], np.int64)
+        out = np.zeros(len(texts))
+        owners, rest = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        at = 0
+        for grams, ended, goes_on in parts_of(texts):
+            several = not goes_on and ended > 1
+            owner = np.repeat(np.arange(at, at + ended), sizes[at : at + ended]) if several else np.full(len(grams), at)
+            row = self.find(grams)
+            found = row >= 0
+            out += np.bincount(owner[found], self.table[row[found]], len(texts))
+            owners.append(owner[~found])
+            rest.append(grams[~found])
+            at += ended
+        owner, gram = np.concatenate(owners), np.concatenate(rest)
+        order = np.lexsort((gram, owner))
+        owner, gram = owner[order], gram[order]
+        new = np.ones(len(gram), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (gram[1:] != gram[:-1])
+        first = np.flatnonzero(new)
+        return out, owner[first], gram[first], np.diff(np.append(first, len(gram)))
+
+
 @dataclass
 class LanguageModel:
-    scorer: Scorer
+    scorer: GramScorer
     tail: DataFrame  # word, n: all learned words that are not in the scorer's head
     n_tokens: int
     n_distinct: int
+    grams: DataFrame  # gram, n and log10 probability of all learned grams
+    top: Broadcast  # what depths 0 and 1 say
 
 
 def _least_count(counted: DataFrame, column: str, most: int) -> int:
@@ -324,8 +511,9 @@ def _least_count(counted: DataFrame, column: str, most: int) -> int:
     return bound if bound is not None else (1 << 62)
 
 
-def fit(docs: DataFrame, contexts: int = 16_384, head: int = 100_000) -> LanguageModel:
-    """Learns both models from all rows of ``docs``."""
+def fit(docs: DataFrame, carried: int = 500_000, head: int = 100_000) -> LanguageModel:
+    """Learns both models from all rows of ``docs``; ``carried`` and ``head`` bound what travels, not what counts."""
+    spark = docs.sparkSession
     counted = stored(
         docs.select("text")
         .mapInArrow(count_batches, "kind int, word binary, gram long, n long")
@@ -337,40 +525,27 @@ def fit(docs: DataFrame, contexts: int = 16_384, head: int = 100_000) -> Languag
     low_word = _least_count(words, "n", head)
     heads = {bytes(r["word"]): r["n"] for r in words.filter(F.col("n") >= low_word).collect()}
 
-    at = lambda d: F.col("gram").bitwiseAND(F.lit(((1 << 8 * d) - 1) << 8))
-    by_context = counted.filter("kind = 1").select(
-        F.inline(F.array(*[F.struct(F.lit(d).alias("d"), at(d).alias("c")) for d in range(DEPTH + 1)])),
-        F.col("gram").bitwiseAND(F.lit(255)).alias("byte"),
-        "n",
-    )
-    totals = stored(by_context.groupBy("d", "c").agg(F.sum("n").alias("total")))
-    low = _least_count(totals, "total", contexts)
-    kept = totals.filter((F.col("total") >= low) | (F.col("d") == 0)).select("d", "c")
-    # At most ``contexts`` rows of two numbers.
-    rows = (
-        by_context.join(F.broadcast(kept), ["d", "c"])
-        .groupBy("d", "c", "byte")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-    )
-    nodes: list[dict[int, int]] = []
-    counts: list[np.ndarray] = []
-    for d in range(DEPTH + 1):
-        own = rows[rows["d"] == d]
-        numbers = sorted({int(c) >> 8 for c in own["c"]}) if d else [0]
-        nodes.append({c: i for i, c in enumerate(numbers)})
-        table = np.zeros((len(numbers), 256), np.int64)
-        if len(own):
-            table[[nodes[d][int(c) >> 8] for c in own["c"]], own["byte"].astype(int)] = own["n"]
-        counts.append(table)
-    deepest = max(d for d in range(DEPTH + 1) if nodes[d])
-    table = weigh(nodes[: deepest + 1], counts[: deepest + 1])
-    keys = np.array([c | d << 56 for d in range(deepest + 1) for c in nodes[d]], np.uint64)
-    tail = words.filter(F.col("n") < low_word)
-    return LanguageModel(Scorer(keys, table, heads, deepest), tail, n_tokens, n_distinct)
-
-
-SCORED = "n_tokens long, n_known long, base double, score double, bits_per_byte double, tail array<binary>, times array<int>"
+    grams = counted.filter("kind = 1").select("gram", "n")
+    # At most 256 contexts of one byte: 256 bytes and 255 decisions each.
+    counts, below = np.zeros((256, 256), np.int64), np.zeros((256, 255))
+    for r in grams.groupBy(F.col("gram").bitwiseAND(F.lit(0xFFFF)).alias("pair")).agg(F.sum("n").alias("n")).collect():
+        counts[r["pair"] >> 8, r["pair"] & 255] = r["n"]
+    sums = _subtrees(grams, _sums, "last long, at long, below double")
+    for r in sums.groupBy("last", "at").agg(F.sum("below").alias("below")).collect():
+        below[r["last"], r["at"]] = r["below"]
+    top = share(spark, same, said_at_one(counts, below))
+    logs = stored(gram_logs(grams, top))
+    # At most ``carried`` rows of two numbers.
+    often = logs.filter(F.col("n") >= _least_count(logs, "n", carried)).select("gram", "log").toArrow()
+    keys = often.column("gram").to_numpy().view(np.uint64)
+    scorer = GramScorer(keys, often.column("log").to_numpy(), heads)
+    return LanguageModel(scorer, words.filter(F.col("n") < low_word), n_tokens, n_distinct, logs, top)
+
+
+SCORED = (
+    "n_tokens long, n_known long, base double, carried double, n_bytes long, tail array<binary>, times array<int>, "
+    "grams array<long>, gram_times array<long>"
+)
 
 
 def score(docs: DataFrame, model: LanguageModel, folds: int = 10) -> DataFrame:
@@ -385,7 +560,8 @@ def score(docs: DataFrame, model: LanguageModel, folds: int = 10) -> DataFrame:
             ids, texts, at = b.column(0), b.column(1), 0
             for part in pieces_of(texts, AT_ONCE):
                 raw = [lowered(t) for t in part]
-                logs = scorer.logs(raw)
+                logs, owner, rest, rest_times = scorer.logs_and_rest(raw)
+                cuts = pa.array(np.searchsorted(owner, np.arange(len(raw) + 1)), pa.int32())
                 rows = []
                 for t, log in zip(raw, logs.tolist()):
                     words = t.split()
@@ -398,16 +574,17 @@ def score(docs: DataFrame, model: LanguageModel, folds: int = 10) -> DataFrame:
                             len(found),
                             sum([x[0] for x in found]) + unseen * (len(words) - len(found)),
                             log,
-                            -log / math.log10(2) / (len(t) + 1),
+                            len(t) + 1,
                             list(tail),
                             list(tail.values()),
                         )
                     )
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
                 columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in (rest.view(np.int64), rest_times)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, len(part)), *columns],
-                    ["doc_id", "n_tokens", "n_known", "base", "score", "bits_per_byte", "tail", "times"],
+                    [ids.slice(at, len(part)), *columns, *lists],
+                    ["doc_id", "n_tokens", "n_known", "base", "carried", "n_bytes", "tail", "times", "grams", "gram_times"],
                 )
                 at += len(part)
 
@@ -427,14 +604,23 @@ def score(docs: DataFrame, model: LanguageModel, folds: int = 10) -> DataFrame:
             F.sum(F.col("times") * (F.log10(F.col("n") + 0.1) - unseen)).alias("more_base"),
         )
     )
+    rest = rows.select("row", F.explode(F.arrays_zip("grams", "gram_times")).alias("t")).select(
+        "row", F.col("t.grams").alias("gram"), F.col("t.gram_times").alias("times")
+    )
+    learned = model.grams.select("gram", "n")
+    new = rest.select("gram").distinct().join(learned, "gram", "left_anti").select("gram", F.lit(0).cast("long").alias("n"))
+    logs = model.grams.unionByName(gram_logs(learned.unionByName(new), model.top, unlearned=True))
+    rare = rest.join(logs, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("rare"))
     floor = math.log10(model.n_tokens + 0.1 * (model.n_distinct + 1))
-    return rows.drop("tail", "times").join(more, "row", "left").select(
+    whole = F.col("carried") + F.coalesce("rare", F.lit(0.0))
+    out = rows.drop("tail", "times", "grams", "gram_times").join(more, "row", "left").join(rare, "row", "left")
+    return out.select(
         "doc_id",
         (fold("doc_id", folds) == 0).alias("held_out"),
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * floor).alias("base_score"),
-        "score",
-        "bits_per_byte",
+        whole.alias("score"),
+        (-whole / math.log10(2) / F.col("n_bytes")).alias("bits_per_byte"),
     )

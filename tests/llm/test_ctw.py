@@ -127,3 +127,34 @@ def test_counts_do_not_depend_on_what_a_task_holds(monkeypatch):
     monkeypatch.setattr(ctw, "AT_ONCE", 20)
     monkeypatch.setattr(ctw, "HELD", 9)
     assert totals() == want and want[0, ctw.END, 0] == 10
+
+
+def all_nodes(texts):
+    """The whole tree of the texts, as ``weigh`` takes it."""
+    grams = Counter(ctw.grams(texts)[0].tolist())
+    numbers = [sorted({g >> 8 & (1 << 8 * d) - 1 for g in grams}) for d in range(ctw.DEPTH + 1)]
+    nodes = [{c: i for i, c in enumerate(level)} for level in numbers]
+    counts = [np.zeros((len(n), 256), np.int64) for n in nodes]
+    for g, n in grams.items():
+        for d, level in enumerate(nodes):
+            counts[d][level[g >> 8 & (1 << 8 * d) - 1], g & 255] += n
+    keys = np.array([c | d << 56 for d, level in enumerate(nodes) for c in level], np.uint64)
+    return ctw.Scorer(keys, ctw.weigh(nodes, counts), {}, ctw.DEPTH)
+
+
+@pytest.mark.parametrize("carried", [0, 5, 10_000])
+def test_no_context_is_left_out(spark, monkeypatch, carried):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcde \u00e9"), 9)) for _ in range(40)]
+    learned = [" ".join(rng.choice(words, 12)) for _ in range(30)]
+    others = [learned[3], None, "", "zebra abc", "\u00e9\u00e9 zz", words[0] + "q" + words[1]]
+    monkeypatch.setattr(ctw, "WEIGHED", 300)
+    docs = spark.createDataFrame(list(enumerate(learned)), "doc_id long, text string").coalesce(2)
+    model = ctw.fit(docs, carried=carried)
+    rows = ctw.score(spark.createDataFrame(list(enumerate(others)), "doc_id long, text string"), model).collect()
+    want = all_nodes([ctw.lowered(t) for t in learned]).logs([ctw.lowered(t) for t in others])
+    for r in rows:
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-4)
+        size = len(ctw.lowered(others[r["doc_id"]])) + 1
+        assert r["bits_per_byte"] == pytest.approx(-r["score"] / math.log10(2) / size)
+    assert len(rows) == len(others)
