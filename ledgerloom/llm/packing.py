@@ -32,8 +32,8 @@ from ledgerloom.llm.bpe import END, _chunks, byte_letters, word_splitter
 from ledgerloom.llm.shared import pieces_of, same, share, shared_value, stored
 
 WINDOW, CLOSING_ID = 2048, 1
-#: Chunks remembered by one worker.
-MEMORY = 1_200_000
+#: Chunks remembered by one worker: those met again, and young ones met once; characters encoded at a time.
+MEMORY, YOUNG, AT_ONCE = 400_000, 200_000, 2_000_000
 #: Tokens of a shard, and the terms of a seed that are asked for.
 SHARD_TOKENS, ASKED = 3_000_000, 24
 K1, B = 1.2, 0.75
@@ -130,52 +130,72 @@ class BulkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; those with a chunk not met before are put together once it is learned."""
-        if len(self.chunks) > MEMORY:
-            self.chunks.clear()
         look_up = self.chunks.__getitem__
         out, late = [], []
-        for i, text in enumerate(texts):
+        for text in texts:
             chunks = self.split(text)
-            out.append(b"".join(map(look_up, chunks)))
+            ids = list(map(look_up, chunks))
             if self.chunks.unknown:
                 self.chunks.unknown = False
-                late.append((i, chunks))
-        self.learn()
-        for i, chunks in late:
-            out[i] = b"".join(map(look_up, chunks))
+                late.append((len(out), ids, chunks))
+            out.append(b"".join(ids))
+        fresh = self.learn()
+        for i, ids, chunks in late:
+            out[i] = b"".join([x or fresh[c] for x, c in zip(ids, chunks)])
         return out
 
-    def learn(self) -> None:
+    def learn(self) -> dict[str, bytes]:
         """Encodes the chunks looked up in vain; their words are chunks of their own."""
-        chunks, words, mixed = self.chunks, set(), {}
+        chunks, young, words, mixed, fresh = self.chunks, self.chunks.young, set(), {}, {}
         for c in chunks.new:
             if c.isalpha():
                 words.add(c)
             elif c[0] != " ":
                 mixed[c] = self.words_of(c)
             else:
-                chunks[c] = self.special[c[1:]].to_bytes(2, "little")
-        words.update(w for ws in mixed.values() for w in ws if w not in chunks)
+                fresh[c] = self.special[c[1:]].to_bytes(2, "little")
+        words.update(w for ws in mixed.values() for w in ws if w not in chunks and w not in young)
         todo = list(words)
-        chunks.update(zip(todo, self.encode_words(todo)))
+        fresh.update(zip(todo, self.encode_words(todo)))
         for c, ws in mixed.items():
-            if len(ws) > 1:
-                chunks[c] = b"".join([chunks[w] for w in ws])
-        chunks.new.clear()
+            if len(ws) != 1:
+                fresh[c] = b"".join([fresh.get(w) or young.get(w) or chunks[w] for w in ws])
+        chunks.remember(fresh)
+        return fresh
 
 
 class Chunks(dict):
-    """Ids of chunks; those looked up in vain are noted."""
+    """Ids of chunks met more than once; those looked up in vain are noted.
+
+    Most distinct chunks of a corpus are met once.  They are kept apart for a while, and
+    only those met again in that time are remembered, so both memories stay small.
+    """
 
     def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
         self.new: set[str] = set()
+        self.again: set[str] = set()
         self.unknown = False
 
     def __missing__(self, chunk: str) -> bytes:
-        self.new.add(chunk)
+        ids = self.young.get(chunk)
+        if ids is not None:
+            self[chunk] = ids
+            return ids
+        (self.again if chunk in self.new else self.new).add(chunk)
         self.unknown = True
         return b""
 
+    def remember(self, fresh: dict[str, bytes]) -> None:
+        if len(self) > MEMORY:
+            self.clear()
+        if len(self.young) > YOUNG:
+            self.young.clear()
+        self.update((c, fresh[c]) for c in self.again)
+        self.young.update((c, ids) for c, ids in fresh.items() if c not in self.again)
+        self.new.clear()
+        self.again.clear()
+
 
 def tokenized(docs: DataFrame, file: str) -> DataFrame:
     """doc_id, ids (16-bit, with the closing id), n and the smallest token hash of every row."""
@@ -186,24 +206,29 @@ def tokenized(docs: DataFrame, file: str) -> DataFrame:
         encoder = shared_value(shared)
         closing = CLOSING_ID.to_bytes(2, "little")
         marks = np.random.default_rng(11).permutation(encoder.size).astype(np.int64)
-        for b in batches:
-            at = 0
-            for part in pieces_of(b.column(1)):
-                ids = [i + closing for i in encoder.encode(part)]
-                sizes = [len(i) // 2 for i in ids]
-                flat = np.frombuffer(b"".join(ids), "<u2")
-                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-                smallest = np.minimum.reduceat(marks[flat], starts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0).slice(at, len(part)),
-                        pa.array(ids, pa.binary()),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(smallest, pa.int64()),
-                    ],
-                    ["doc_id", "ids", "n", "mark"],
-                )
-                at += len(part)
+        try:
+            for b in batches:
+                at = 0
+                for part in pieces_of(b.column(1), AT_ONCE):
+                    ids = [i + closing for i in encoder.encode(part)]
+                    sizes = [len(i) // 2 for i in ids]
+                    flat = np.frombuffer(b"".join(ids), "<u2")
+                    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+                    smallest = np.minimum.reduceat(marks[flat], starts)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            b.column(0).slice(at, len(part)),
+                            pa.array(ids, pa.binary()),
+                            pa.array(sizes, pa.int64()),
+                            pa.array(smallest, pa.int64()),
+                        ],
+                        ["doc_id", "ids", "n", "mark"],
+                    )
+                    at += len(part)
+        finally:
+            # The worker lives on; what packs in it next needs the room.
+            encoder.chunks = Chunks()
+            gc.enable()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         encoded, "doc_id long, ids binary, n long, mark long"

@@ -115,3 +115,18 @@ def test_neighbours_equal_a_plain_bm25():
         got = index.neighbours(seed, unused, 1000).tolist()
         assert set(got) == {i for i, s in score.items() if s > 0}
         assert np.allclose([score[i] for i in got], sorted((s for s in score.values() if s > 0), reverse=True))
+
+
+def test_encoder_remembers_only_chunks_met_again(monkeypatch):
+    monkeypatch.setattr(packing, "YOUNG", 300)
+    monkeypatch.setattr(packing, "MEMORY", 100)
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choices("abcdefgh-.7", k=9))
+    often = [word() for _ in range(20)]
+    encoder = packing.BulkEncoder(FILE)
+    for _ in range(12):
+        texts = [" ".join([word(), rnd.choice(often), word(), rnd.choice(often)]) for _ in range(80)]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, "<u2").tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+        assert set(often) <= encoder.chunks.keys() and len(encoder.chunks) < 300
+        assert len(encoder.chunks.young) < 1500
