@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.star_sql import DOCS
 from ledgerloom.operators import learning, profile
-from ledgerloom.sources import scratch_folder
+from ledgerloom.sources import scratch_folder, written
 from ledgerloom.sources.models import ModelStore
 
 query("eda1_value_counts", """SELECT name_contract_type, count(*) AS total FROM application
@@ -165,8 +165,15 @@ query("ml1_held_rows", f"WITH {SIDES} SELECT sk_id_curr, target FROM sides WHERE
     .select("sk_id_curr", "target"))
 
 
+def _sides(d):
+    """Both sides of the applicants' model columns, stored once: fitting and scoring read them again and again."""
+    people = _people(d).select("sk_id_curr", "target", *FEATURES)
+    sided = written(learning.stratified_sides(people, "sk_id_curr", "target", 0.8, seed=1), "sides")
+    return [sided.where(F.col("side") == s).drop("side") for s in ("train", "held")]
+
+
 def _scored(d, learner):
-    train, held = learning.stratified_split(_people(d), "sk_id_curr", "target", 0.8, seed=1)
+    train, held = _sides(d)
     model = learning.fit_model(train, FEATURES, "target", learner)
     return learning.score(held, model, FEATURES, ["sk_id_curr", "target"])
 
@@ -181,7 +188,7 @@ query("ml2_score_boosted_trees")(lambda d: _scored(d, "boosted_trees"))
 def _ml2_stored(d):
     """Two models saved, found by name in a new store, scoring as in memory despite other columns."""
     base = scratch_folder(d.spark, "ml2")
-    train, held = learning.stratified_split(_people(d), "sk_id_curr", "target", 0.8, seed=1)
+    train, held = _sides(d)
     out = []
     for learner in ("boosted_trees", "logistic"):
         model = learning.fit_model(train, FEATURES, "target", learner)

@@ -18,6 +18,7 @@ from ledgerloom.functions import ratio, settled
 from ledgerloom.operators.columns import align_columns
 from ledgerloom.operators.joins import attach_small
 from ledgerloom.operators.quantiles import exact_quantiles, running_sums
+from ledgerloom.sources.files import written
 
 LEARNERS = {
     "logistic": lambda features, label: LogisticRegression(
@@ -90,7 +91,9 @@ def fit_model(
     df: DataFrame, features: Sequence[str], label: str, learner: str = "logistic",
     select: int | None = None,
 ) -> PipelineModel:
-    return build_estimator(features, label, learner, select).fit(model_input(df, features, [label]))
+    """A fitted pipeline.  Its stages scan their input many times, so what they need of it is stored first."""
+    rows = written(model_input(df, features, [label]), "training")
+    return build_estimator(features, label, learner, select).fit(rows)
 
 
 def tune_model(

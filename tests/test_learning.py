@@ -137,3 +137,17 @@ def test_tuning_follows_from_the_table(spark):
     assert model.stages[-1].getRegParam() == best
     scored = learning.cross_scored(df, "sk_id_curr", ["x", "noise"], "target", "linear_svc", [0.1], 2)
     assert scored.count() == 300 and scored.select("sk_id_curr").distinct().count() == 300
+
+
+def test_fitting_reads_its_source_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = [(float(i % 17), float(i * 7 % 5), int(i % 17 > 8)) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, y double, target int").mapInPandas(count, "x double, y double, target int")
+    learning.fit_model(df, ["x", "y"], "target", "boosted_trees")
+    assert seen.value == 200
