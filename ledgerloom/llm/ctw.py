@@ -42,9 +42,9 @@ EDGE = b"\xff"
 END = b" "
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Bytes worked on at a time, and distinct grams a task holds before it hands them on.
-AT_ONCE, HELD = 500_000, 3_000_000
+AT_ONCE, HELD = 250_000, 1_500_000
 #: Depth whose subtrees are weighed whole in one task, and grams weighed at a time.
-CUT, WEIGHED = 2, 200_000
+CUT, WEIGHED = 2, 50_000
 
 
 def lowered(text: str | None) -> bytes:
@@ -147,7 +147,7 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     merge()
                 if len(known) > HELD:
                     yield from flush_grams()
-            if len(words) > 600_000:
+            if len(words) > 200_000:
                 yield from flush_words()
     merge()
     if n_texts:
@@ -399,9 +399,9 @@ class Scorer:
         self.head = {w: (math.log10(c + 0.1), c) for w, c in head.items()}
         self.most_depth = most_depth
         # Open addressing: key of a context is its depth above its bytes.
-        self.bits = max(4, int(len(keys) * 4).bit_length())
+        self.bits = max(4, int(len(keys) * 2).bit_length())
         self.slots = np.full(1 << self.bits, EMPTY, np.uint64)
-        self.rows = np.zeros(1 << self.bits, np.int64)
+        self.rows = np.zeros(1 << self.bits, np.int32)
         at, todo = self.slot(keys), np.arange(len(keys))
         while len(todo):
             free = self.slots[at] == EMPTY

@@ -68,11 +68,11 @@ def share(spark: SparkSession, make: Callable, *args) -> Broadcast:
 
 
 def shared_value(shared: Broadcast):
-    """What ``share`` was asked to make; kept beside its recipe for the worker's later tasks."""
+    """What ``share`` was asked to make; kept in place of its recipe for the worker's later tasks."""
     held = shared.value
     if len(held) == 1:
         make, args = pickle.loads(held[0])
-        held.append(make(*args))
+        held[:] = [None, make(*args)]
     return held[1]
 
 

@@ -6,8 +6,10 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
 from ledgerloom.llm import ctw
+from ledgerloom.llm.shared import same, shared_value
 
 
 def kt(zeros, ones):
@@ -158,3 +160,20 @@ def test_no_context_is_left_out(spark, monkeypatch, carried):
         size = len(ctw.lowered(others[r["doc_id"]])) + 1
         assert r["bits_per_byte"] == pytest.approx(-r["score"] / math.log10(2) / size)
     assert len(rows) == len(others)
+
+
+def test_what_a_worker_holds_for_scoring_is_small():
+    rng = np.random.default_rng(5)
+    grams = np.unique(rng.integers(0, 1 << 48, 300_000).astype(np.uint64))
+    scorer = ctw.GramScorer(grams, np.arange(len(grams)) / 1e6, {})
+    assert (scorer.slots.nbytes + scorer.rows.nbytes + scorer.table.nbytes) / len(grams) < 64
+    assert (scorer.find(grams) == np.arange(len(grams))).all()
+    assert (scorer.find(np.setdiff1d(grams + np.uint64(1), grams)) == -1).all()
+
+
+def test_the_recipe_of_a_shared_value_goes_when_it_is_made():
+    class Shared:
+        value = [cloudpickle.dumps((same, ({"a": 1},)))]
+
+    assert shared_value(Shared) == {"a": 1} and Shared.value[0] is None
+    assert shared_value(Shared) is shared_value(Shared)
