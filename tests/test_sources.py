@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.layers import RAW_TABLES
-from ledgerloom.sources import Lake, export_csv, ingest_table, read_csv, read_csv_head, scratch_folder
+from ledgerloom.sources import Lake, export_csv, ingest_table, read_csv, read_csv_head, scratch_folder, written
 from ledgerloom.sources.files import type_of_name
 
 
@@ -120,3 +120,16 @@ def test_tables_are_known_to_other_sessions(spark, tmp_path):
     other.sql("DROP TABLE known.plain")
     assert lake.read("plain").count() == 2
     spark.sql("DROP DATABASE known CASCADE")
+
+
+def test_scratch_tables_and_raw_files_can_be_small(spark, tmp_path):
+    """What the layers write in between is compressed and reads back the same."""
+    df = spark.range(2000).select(F.col("id").alias("ID"), F.when(F.col("id") % 3 > 0, "word").alias("NAME"))
+    export_csv(df, f"{tmp_path}/raw/T.csv", compression="gzip")
+    assert list((tmp_path / "raw" / "T.csv").glob("*.csv.gz")) and not list((tmp_path / "raw" / "T.csv").glob("*.csv"))
+    bronze = Lake(spark, f"{tmp_path}/bronze", options={"compression": "zstd"})
+    assert ingest_table(f"{tmp_path}/raw", bronze, "T", schema="ID bigint, NAME string").rows == 2000
+    assert bronze.read("t").select("id", "name").exceptAll(df.toDF("id", "name")).count() == 0
+    kept = written(df)
+    for files in (kept.inputFiles(), bronze.read("t").inputFiles()):
+        assert all(f.endswith(".zstd.parquet") for f in files)
