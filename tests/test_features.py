@@ -119,3 +119,19 @@ def test_encoder_is_kept_and_loaded_without_the_data(data, spark, tmp_path):
     assert not any("customer.parquet" in f for f in files) and any("/learned/mart/1/" in f for f in files)
     assert new.application.wide_values(cleaned).where("name = 'organization_type'").count() == cleaned.count()
     assert "organization_type" not in new.application.apply(cleaned).columns
+
+
+def test_figures_of_few_clients_equal_those_among_all(spark, monkeypatch):
+    """Details of other clients are left out, but not their payments on a shared instalment."""
+    kind = ("sk_id_curr int, sk_id_prev int, num_instalment_version int, num_instalment_number int, days_instalment int, "
+            "days_entry_payment int, amt_instalment double, amt_payment double")
+    paid = [(k, k % 3, 1, n, -5 * n, -5 * n + k % 4, 100.0 * n, 30.0 * k) for k in (1, 2, 3, 4, 7) for n in (1, 2, 9)]
+    df = spark.createDataFrame([*paid, (None, 1, 1, 1, -5, -4, 100.0, 11.0)], kind)
+    ids = spark.createDataFrame([(1,), (4,), (4,), (99,), (None,)], "sk_id_curr int")
+    asked = mart.details_of(ids)
+    assert asked(df).columns == df.columns and asked(df).count() == 6
+    part = instalments.gather_instalments(df, asked=asked).unfold()
+    whole = instalments.instalment_features(df).where("sk_id_curr IN (1, 4)")
+    assert rows(part, "sk_id_curr") == rows(whole, "sk_id_curr") and part.count() == 2
+    monkeypatch.setattr(mart, "FEW", 2)
+    assert mart.details_of(ids)(df) is df
