@@ -24,6 +24,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -36,6 +37,8 @@ from ledgerloom.llm.shared import pieces_of, share, shared_value
 #: Fixed values of the tokenizer file's kind: what parts a text into words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
+#: Kinds of signs beside all others, which are 0.
+LETTER, DIGIT = 1, 2
 #: Words remembered by one task before it starts anew.
 MEMORY = 400_000
 
@@ -225,17 +228,31 @@ class Encoder:
         return " ".join([names[i] for i in ids if i in names])
 
 
-def word_splitter() -> Callable[[str], list[str]]:
-    """Splits a chunk into words.
+def young_signs() -> frozenset[str]:
+    """Letters and digits of younger Unicode versions than the tokenizers library knows.
 
-    Letters and digits of younger Unicode versions than the tokenizers library knows
-    are other signs to it; which ones those are is asked of its own patterns.
+    They are other signs to it; which ones those are is asked of its own patterns.
     """
-    pattern = regex.compile(WORD)
     every = "".join(map(chr, chain(range(128, 0xD800), range(0xE000, 0x110000))))
     new = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
     left = Split(Regex(r"[\p{L}\p{N}]"), "removed").pre_tokenize_str(new)
-    young = frozenset("".join([piece for piece, _ in left]))
+    return frozenset("".join([piece for piece, _ in left]))
+
+
+def kinds_of_signs() -> np.ndarray:
+    """LETTER, DIGIT or 0 of every code point, as the words' pattern and the tokenizers library have it."""
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    out = np.zeros(0x110000, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}"), (DIGIT, r"\p{N}")):
+        out[np.array(list(map(ord, regex.findall(pattern, every))))] = kind
+    out[np.array(list(map(ord, young_signs())), int)] = 0
+    return out
+
+
+def word_splitter() -> Callable[[str], list[str]]:
+    """Splits a chunk into words."""
+    pattern = regex.compile(WORD)
+    young = young_signs()
 
     def words_of(chunk: str) -> list[str]:
         if chunk.isascii() or young.isdisjoint(chunk):

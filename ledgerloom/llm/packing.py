@@ -19,21 +19,26 @@ from __future__ import annotations
 import gc
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import END, _chunks, byte_letters, word_splitter
+from ledgerloom.llm.bpe import DIGIT, END, _chunks, byte_letters, kinds_of_signs
 from ledgerloom.llm.shared import pieces_of, same, share, shared_value, stored
 
 WINDOW, CLOSING_ID = 2048, 1
 #: Chunks remembered by one worker: those met again, and young ones met once; characters encoded at a time.
-MEMORY, YOUNG, AT_ONCE = 400_000, 200_000, 2_000_000
+MEMORY, YOUNG, AT_ONCE = 400_000, 200_000, 8_000_000
+#: Chunks put into one Arrow array, words merged at a time, and the chunk that stands for the end of a text.
+CHUNKS_AT_ONCE, WORDS_AT_ONCE, CLOSING = 200_000, 20_000, " "
+#: English short forms after a quote: 's 't 'm 'd, 're 've 'll.
+SHORT, LONG = list(b"stmd"), [a << 21 | b for a, b in (b"re", b"ve", b"ll")]
 #: Tokens of a shard, and the terms of a seed that are asked for.
 SHARD_TOKENS, ASKED = 3_000_000, 24
 K1, B = 1.2, 0.75
@@ -41,7 +46,7 @@ NONE = 1 << 30
 
 
 class BulkEncoder:
-    """Merges the pairs of very many words side by side, one merge a word and round."""
+    """Encodes texts by their distinct chunks, and new chunks side by side, one merge a word and round."""
 
     def __init__(self, file: str) -> None:
         with open(file, encoding="utf-8") as f:
@@ -60,10 +65,16 @@ class BulkEncoder:
             while self.ranks[at] != NONE:
                 at = (at + 1) & ((1 << 18) - 1)
             self.slots[at], self.ranks[at] = key, rank
+        # Ranks of two bytes side by side; 256 is added to the last byte of a word.
+        self.beside = self.rank(np.repeat(self.inner, 512), np.tile(np.concatenate([self.inner, self.last]), 256))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.words_of = word_splitter()
-        self.chunks = Chunks()
+        self.kinds = kinds_of_signs()
+        self.forget()
+
+    def forget(self) -> None:
+        marks = {" " + c: i for c, i in self.special.items()} | {CLOSING: CLOSING_ID}
+        self.chunks = Chunks(marks)
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
@@ -82,20 +93,17 @@ class BulkEncoder:
             open_, at = open_[go], (at[go] + 1) & ((1 << 18) - 1)
         return out
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as little-endian 16-bit numbers."""
-        if not words:
-            return []
-        raws = [w.encode("utf-8", "surrogatepass") for w in words]
-        sizes = np.array([len(r) for r in raws])
-        data = np.frombuffer(b"".join(raws), np.uint8)
+    def merge(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words that follow one another in ``data``, and how many ids each has."""
         ids = self.inner[data]
         ends = np.cumsum(sizes) - 1
         ids[ends] = self.last[data[ends]]
-        word = np.repeat(np.arange(len(words)), sizes)
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        symbols = data.astype(np.int64)
+        symbols[ends] += 256
         rank = np.full(len(ids), NONE, np.int64)
-        inside = np.flatnonzero(word[:-1] == word[1:])
-        rank[inside] = self.rank(ids[inside], ids[inside + 1])
+        rank[:-1] = self.beside[(data[:-1].astype(np.int64) << 9) + symbols[1:]]
+        rank[ends] = NONE
         done_ids, done_words = [], []
         while len(ids):
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
@@ -117,10 +125,62 @@ class BulkEncoder:
             changed = changed[word[changed] == word[changed + 1]]
             rank[changed] = self.rank(ids[changed], ids[changed + 1])
         ids, word = np.concatenate(done_ids), np.concatenate(done_words)
-        order = np.argsort(word, kind="stable")
-        flat = ids[order].astype("<u2").tobytes()
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))]) * 2
-        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        return ids[np.argsort(word, kind="stable")].astype("<u2"), np.bincount(word, minlength=len(sizes))
+
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words, and where each word's begin and how many they are.
+
+        Words of like length go together, so that few rounds are run for a few long ones.
+        """
+        sizes = np.diff(edges_of(words))
+        order = np.argsort(sizes, kind="stable")
+        words, sizes = words.take(pa.array(order)), sizes[order]
+        data, edges = data_of(words), edges_of(words)
+        ids, counts = [np.zeros(0, "<u2")], [np.zeros(0, np.int64)]
+        for at in range(0, len(sizes), WORDS_AT_ONCE):
+            some = sizes[at : at + WORDS_AT_ONCE]
+            found, count = self.merge(data[edges[at] : edges[at + len(some)]], some)
+            ids.append(found)
+            counts.append(count)
+        count = np.concatenate(counts)
+        starts, lengths = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        starts[order], lengths[order] = np.cumsum(count) - count, count
+        return np.concatenate(ids), starts, lengths
+
+    def words_in(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all chunks one after another, and the number of each chunk's first."""
+        data, edges = data_of(chunks), edges_of(chunks)
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+        lead = np.flatnonzero((data & 0xC0) != 0x80)
+        begins = np.zeros(len(data) + 1, bool)
+        begins[edges] = True
+        first = np.append(begins[lead], [True] * 3)
+        kind = self.kinds[points]
+        cut = first | np.append(kind == DIGIT, [False] * 3)
+        cut[1 : len(kind)] |= kind[1:] != kind[:-1]
+        # A quote that begins a word takes one or two letters along, if they end an English short form.
+        quote = np.flatnonzero((points == ord("'")) & cut[: len(points)])
+        one = np.where(first[quote + 1], 0, np.append(points, [0] * 2)[quote + 1])
+        two = np.where(first[quote + 1] | first[quote + 2], 0, np.append(points, [0] * 2)[quote + 2])
+        short = np.isin(one, SHORT)
+        long = np.isin(one << 21 | two, LONG)
+        cut[quote[short | long] + 1] = False
+        cut[quote[short] + 2] = True
+        cut[quote[long] + 3] = True
+        cut = cut[: len(points)]
+        starts = lead[cut]
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
+        return words, np.flatnonzero(first[: len(points)][cut])
+
+    def encode_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks one after another, and how many each has."""
+        if not len(chunks):
+            return np.zeros(0, "<u2"), np.zeros(0, np.int64)
+        words, first = self.words_in(chunks)
+        coded = words.dictionary_encode()
+        ids, sizes = gathered(*self.encode_words(coded.dictionary), coded.indices.to_numpy())
+        return ids, np.add.reduceat(sizes, first)
 
     def split(self, text: str) -> list[str]:
         if self.specials is not None and "<|" in text:
@@ -128,73 +188,120 @@ class BulkEncoder:
             return [c for i, p in enumerate(parts) for c in ([" " + p] if i % 2 else _chunks(p))]
         return _chunks(text)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; those with a chunk not met before are put together once it is learned."""
-        look_up = self.chunks.__getitem__
-        out, late = [], []
+    def encode_closed(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, each with the closing id, and how many each text has.
+
+        Texts become rows of a table of their distinct chunks, and only that table is looked up.
+        """
+        arrays, chunks, counts = [], [], []
         for text in texts:
-            chunks = self.split(text)
-            ids = list(map(look_up, chunks))
-            if self.chunks.unknown:
-                self.chunks.unknown = False
-                late.append((len(out), ids, chunks))
-            out.append(b"".join(ids))
-        fresh = self.learn()
-        for i, ids, chunks in late:
-            out[i] = b"".join([x or fresh[c] for x, c in zip(ids, chunks)])
-        return out
+            found = self.split(text)
+            chunks += found
+            chunks.append(CLOSING)
+            counts.append(len(found) + 1)
+            if len(chunks) > CHUNKS_AT_ONCE:
+                arrays.append(pa.array(chunks, pa.string()))
+                chunks = []
+        arrays.append(pa.array(chunks, pa.string()))
+        coded = pa.chunked_array(arrays).dictionary_encode()
+        codes = [c.indices.to_numpy() for c in coded.chunks]
+        names = coded.chunk(0).dictionary
+        times = sum(np.bincount(c, minlength=len(names)) for c in codes)
+        table = self.chunks.look_up(names, times, self.encode_chunks)
+        parts = [gathered(*table, c) for c in codes]
+        first = np.cumsum(counts) - counts
+        return np.concatenate([ids for ids, _ in parts]), np.add.reduceat(np.concatenate([k for _, k in parts]), first)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, without the closing id."""
+        ids, sizes = self.encode_closed(texts)
+        ends = np.cumsum(sizes)
+        return [ids[e - k : e - 1].tobytes() for e, k in zip(ends.tolist(), sizes.tolist())]
+
+
+class Chunks:
+    """Ids of chunks met more than once, and of some that always stay, as one table.
 
-    def learn(self) -> dict[str, bytes]:
-        """Encodes the chunks looked up in vain; their words are chunks of their own."""
-        chunks, young, words, mixed, fresh = self.chunks, self.chunks.young, set(), {}, {}
-        for c in chunks.new:
-            if c.isalpha():
-                words.add(c)
-            elif c[0] != " ":
-                mixed[c] = self.words_of(c)
-            else:
-                fresh[c] = self.special[c[1:]].to_bytes(2, "little")
-        words.update(w for ws in mixed.values() for w in ws if w not in chunks and w not in young)
-        todo = list(words)
-        fresh.update(zip(todo, self.encode_words(todo)))
-        for c, ws in mixed.items():
-            if len(ws) != 1:
-                fresh[c] = b"".join([fresh.get(w) or young.get(w) or chunks[w] for w in ws])
-        chunks.remember(fresh)
-        return fresh
-
-
-class Chunks(dict):
-    """Ids of chunks met more than once; those looked up in vain are noted.
-
-    Most distinct chunks of a corpus are met once.  They are kept apart for a while, and
-    only those met again in that time are remembered, so both memories stay small.
+    Most distinct chunks of a corpus are met once.  They are kept as young for a while, and
+    only those met again in that time are remembered longer, so the table stays small.
     """
 
-    def __init__(self) -> None:
-        self.young: dict[str, bytes] = {}
-        self.new: set[str] = set()
-        self.again: set[str] = set()
-        self.unknown = False
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.young.get(chunk)
-        if ids is not None:
-            self[chunk] = ids
-            return ids
-        (self.again if chunk in self.new else self.new).add(chunk)
-        self.unknown = True
-        return b""
-
-    def remember(self, fresh: dict[str, bytes]) -> None:
-        if len(self) > MEMORY:
-            self.clear()
-        if len(self.young) > YOUNG:
-            self.young.clear()
-        self.update((c, fresh[c]) for c in self.again)
-        self.young.update((c, ids) for c, ids in fresh.items() if c not in self.again)
-        self.new.clear()
-        self.again.clear()
+    def __init__(self, fixed: dict[str, int]) -> None:
+        self.fixed = len(fixed)
+        self.names = pa.array(fixed, pa.string())
+        self.ids, self.sizes = np.array(list(fixed.values()), "<u2"), np.ones(len(fixed), np.int64)
+        self.often = np.ones(len(fixed), bool)
+
+    def __len__(self) -> int:
+        return int(self.often.sum())
+
+    def keys(self) -> set[str]:
+        return set(self.names.filter(pa.array(self.often)).to_pylist())
+
+    @property
+    def young(self) -> set[str]:
+        return set(self.names.filter(pa.array(~self.often)).to_pylist())
+
+    def look_up(
+        self,
+        names: pa.Array,
+        times: np.ndarray,
+        encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, and where each chunk's begin and how many they are; new ones are learned."""
+        rows = pc.fill_null(pc.index_in(names, self.names), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(rows < 0)
+        known = len(self.names)
+        self.often[rows[rows >= 0]] = True
+        fresh = names.take(pa.array(new))
+        ids, sizes = encode(fresh)
+        rows[new] = known + np.arange(len(new))
+        ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        starts = np.cumsum(sizes) - sizes
+        # A memory grown too large is given up for what is new.
+        stay = np.where(self.often, len(self) <= MEMORY, np.sum(~self.often) <= YOUNG)
+        stay[: self.fixed] = True
+        stay = np.flatnonzero(np.append(stay, np.ones(len(new), bool)))
+        self.often = np.append(self.often, times[new] > 1)[stay]
+        self.names = pa.concat_arrays([self.names, fresh]).take(pa.array(stay))
+        self.ids, self.sizes = gathered(ids, starts, sizes, stay)
+        return ids, starts[rows], sizes[rows]
+
+
+def edges_of(texts: pa.Array) -> np.ndarray:
+    """Where the bytes of each text begin, and where the last one ends."""
+    edges = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+    return edges - edges[0]
+
+
+def data_of(texts: pa.Array) -> np.ndarray:
+    """The bytes of all texts, one after another."""
+    edges = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4)
+    data = texts.buffers()[2]
+    return np.frombuffer(data or b"", np.uint8)[edges[0] : edges[-1]]
+
+
+def gathered(
+    ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the rows one after another, and how many each row has."""
+    size = sizes[rows]
+    ends = np.cumsum(size)
+    at = np.repeat(starts[rows] - ends + size, size)
+    at += np.arange(len(at))
+    return ids[at], size
+
+
+def larger(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``least`` bytes or more, as far as they go."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(h.nbytes for h in held) >= least:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
 
 
 def tokenized(docs: DataFrame, file: str) -> DataFrame:
@@ -204,21 +311,19 @@ def tokenized(docs: DataFrame, file: str) -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # very many live strings and no cycle among them
         encoder = shared_value(shared)
-        closing = CLOSING_ID.to_bytes(2, "little")
-        marks = np.random.default_rng(11).permutation(encoder.size).astype(np.int64)
+        marks = np.random.default_rng(11).permutation(encoder.size).astype(np.uint16)
         try:
-            for b in batches:
+            for b in larger(batches, AT_ONCE):
                 at = 0
                 for part in pieces_of(b.column(1), AT_ONCE):
-                    ids = [i + closing for i in encoder.encode(part)]
-                    sizes = [len(i) // 2 for i in ids]
-                    flat = np.frombuffer(b"".join(ids), "<u2")
-                    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-                    smallest = np.minimum.reduceat(marks[flat], starts)
+                    flat, sizes = encoder.encode_closed(part)
+                    edges = np.append(0, np.cumsum(sizes))
+                    smallest = np.minimum.reduceat(marks[flat], edges[:-1])
+                    offsets = pa.py_buffer((edges * 2).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
                         [
                             b.column(0).slice(at, len(part)),
-                            pa.array(ids, pa.binary()),
+                            pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, offsets, pa.py_buffer(flat)]),
                             pa.array(sizes, pa.int64()),
                             pa.array(smallest, pa.int64()),
                         ],
@@ -227,7 +332,7 @@ def tokenized(docs: DataFrame, file: str) -> DataFrame:
                     at += len(part)
         finally:
             # The worker lives on; what packs in it next needs the room.
-            encoder.chunks = Chunks()
+            encoder.forget()
             gc.enable()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -130,3 +131,39 @@ def test_encoder_remembers_only_chunks_met_again(monkeypatch):
             assert np.frombuffer(ids, "<u2").tolist() == PLAIN.encode(text, add_special_tokens=False).ids
         assert set(often) <= encoder.chunks.keys() and len(encoder.chunks) < 300
         assert len(encoder.chunks.young) < 1500
+
+
+def test_encoder_looks_up_distinct_chunks_only(monkeypatch):
+    """Chunks met again in the texts cost no look-up of their own; texts are put together from a table."""
+    asked = []
+    look_up = packing.Chunks.look_up
+    monkeypatch.setattr(packing.Chunks, "look_up", lambda self, names, *rest: asked.append(len(names)) or look_up(self, names, *rest))
+    monkeypatch.setattr(packing, "CHUNKS_AT_ONCE", 1000)
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(50)]
+    texts = [" ".join(rnd.choices(words, k=200)) for _ in range(100)] + [""]
+    got = packing.BulkEncoder(FILE).encode(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
+    assert asked == [51]
+
+
+def test_bulk_encoder_parts_odd_chunks_as_the_library():
+    """Quotes and short forms, digits, marks, letters of young Unicode versions, special tokens, long words."""
+    rnd = random.Random(6)
+    signs = ["'", "'s", "'re", "'ll", "'r", "'v", "'l", "r\u7265", "'r\u7265", "e", "s", "tm", "7", "\u00b2", "\u0664", "-", "...",
+             "\u00e9", "e\u0301", "\u0130", "\u03a3", "\u5b57", "\U0001f600", *sorted(bpe.young_signs())[-2:], "\ue000", "\x00", "\x1c", "\x85",
+             " ", "\u00a0", "\n", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "the", "DON'T", "x" * 300]
+    texts = ["".join(rnd.choices(signs, k=rnd.randrange(12))) for _ in range(4000)] + signs
+    encoder = packing.BulkEncoder(FILE)
+    want = [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
+    for step in (1, -1):
+        got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts[::step])]
+        assert got == want[::step]
+
+
+def test_small_batches_are_encoded_together():
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    batches = [pa.record_batch([[i], ["a" * 40 if i % 3 else None]], schema) for i in range(50)]
+    got = list(packing.larger(iter(batches), 500))
+    assert [r for b in got for r in b.to_pylist()] == [r for b in batches for r in b.to_pylist()]
+    assert 2 < len(got) < 10 and list(packing.larger(iter([]), 500)) == []
