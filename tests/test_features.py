@@ -1,10 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks.q_features import sources
 from checks.registry import Data
-from ledgerloom.operators.aggregates import Lookbacks
-from ledgerloom.plans import application, instalments, mart, pos, previous
+from ledgerloom.operators.aggregates import DAY_WINDOWS, Lookbacks
+from ledgerloom.plans import application, bureau, instalments, mart, pos, previous
 from ledgerloom.sources import Lake
 from tables import rows
 
@@ -53,6 +55,69 @@ def test_payment_totals_count_only_the_window(spark):
     assert (out["ins_payment_difference_max"], out["ins_payment_difference_max_week"]) == (0.0, 40.0)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_of_instalments_with_several_payers(spark):
+    """Unknown clients, loans and numbers, and loans of one payer: as one filter per window."""
+    rnd = random.Random(4)
+    data = [(rnd.choice([1, 2, 3, None]), rnd.choice([None, 1, 2, 3, 4]), rnd.choice([None, 1, 2, 3]), rnd.choice([None, 1, 2]),
+             rnd.choice([-3, -7, -20, -90, -400]), rnd.choice([None, -5, -50]), 100.0, rnd.choice([None, 10.0, 40.0]))
+            for _ in range(150)]
+    alone = [(k, 10 * k, 1, n, -30 * n, -8, 50.0, 5.0 * n) for k in (1, 5) for n in (0, 1, 1, 4)]
+    payer_unknown = [(None, 77, 1, 1, -1, -1, 9.0, 3.0), (6, 77, 1, 1, -20, -1, 9.0, 4.0)]
+    for rows_of_loans in ([*data, *alone, *payer_unknown], alone):
+        df = spark.createDataFrame(rows_of_loans, PAID)
+        got = {r["sk_id_curr"]: r for r in rows(instalments.instalment_features(df))}
+        seen = set()
+        for suffix, reach in DAY_WINDOWS:
+            part = instalments.clean_instalments(df.where(F.lit(True) if reach is None else F.col("days_instalment") >= -reach))
+            for want in rows(instalments.per_client(part)):
+                seen.add(want["sk_id_curr"])
+                for name, value in want.items():
+                    if name != "sk_id_curr":
+                        assert got[want["sk_id_curr"]][name + suffix] == pytest.approx(value), (want["sk_id_curr"], name, suffix)
+        assert seen == set(got)
+
+
+def test_payments_of_one_payer_a_loan_are_gathered_by_client_alone(spark):
+    df = spark.createDataFrame([(k, 10 * k, 1, n, -30 * n, -8, 50.0, 5.0) for k in (1, 5) for n in (1, 2)], PAID)
+    table = instalments.gather_instalments(df).table
+    assert "hashpartitioning(sk_id_prev" not in _plan(table) and table.count() == 2
+
+
+def test_loans_and_months_are_gathered_before_they_are_wide(spark):
+    """No partial figure crosses the network, and clients are dealt to the tasks asked for."""
+    names = [c for c in bureau.LOAN_AGGREGATES if c != "months_balance_size"]
+    loans = spark.range(4000).selectExpr(  # No client or loan is a hot one.
+        "nullif(id % 1999, 8) AS sk_id_curr", "id AS sk_id_bureau", "elt(id % 2 + 1, 'Closed', 'Active') AS credit_active",
+        *[f"CAST(nullif(id % {i + 3}, 0) AS DOUBLE) AS {c}" for i, c in enumerate(names)])
+    months = spark.range(9000).selectExpr(
+        "nullif(id % 4500, 7) AS sk_id_bureau", "CAST(-(id % 12) AS INT) AS months_balance", "elt(id % 3 + 1, 'C', 'X', '0') AS status")
+    categories, statuses, tasks = {"credit_active": ["Active", "Closed"]}, ["0", "C", "X"], spark.sparkContext.defaultParallelism + 5
+    known = loans.where("sk_id_curr IS NOT NULL")
+    found = bureau.bureau_features(known, months.where("sk_id_bureau IS NOT NULL"), categories, statuses, tasks=tasks)
+    plan = _plan(found)
+    assert f", {tasks}), REPARTITION_BY_NUM" in plan and "partial_" in plan
+    lines = [line.lstrip(" :+-*()0123456789") for line in plan.splitlines()]
+    assert not any(a.startswith("Exchange") and "Aggregate" in b and "partial_" in b for a, b in zip(lines, lines[1:]))
+    per_loan = months.groupBy("sk_id_bureau").agg(F.count("*").alias("n"), F.avg(F.expr("int(status = 'C')")).alias("closed"))
+    want = loans.join(per_loan, "sk_id_bureau", "left").groupBy("sk_id_curr").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("bureau_months_balance_size_sum"), F.avg("closed").alias("bureau_status_C_mean_mean"),
+        F.max("amt_credit_sum").alias("bureau_amt_credit_sum_max"))
+    whole = bureau.bureau_features(loans, months, categories, statuses)
+    got = rows(whole.select(*want.columns), "sk_id_curr")
+    assert got == [{k: pytest.approx(v) if isinstance(v, float) else v for k, v in r.items()} for r in rows(want, "sk_id_curr")]
+
+
+def test_line_items_meet_their_orders_once_for_all_roles(spark, data):
+    names = ["pos", "instalments", "card", "bureau"]
+    for name, role in zip(names, data.roles(*names)):
+        assert "Join" not in _plan(role) and role.schema == data.role(name).schema
+        assert role.exceptAll(data.role(name)).isEmpty() and data.role(name).exceptAll(role).isEmpty()
+
+
 def test_pos_loans(spark):
     data = [(1, 1, -3, 12, 9, "Active"), (1, 1, -1, 10, 4, "Completed"), (1, 1, -2, 11, 6, "Active"),
             (1, 2, -1, None, 5, "Active"), (1, 2, -2, 0, 3, "Active"), (1, 3, -1, 6, 1, "Completed")]
