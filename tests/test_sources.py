@@ -1,10 +1,13 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.layers import RAW_TABLES
+from ledgerloom.session import at_once, session_aside
 from ledgerloom.sources import Lake, export_csv, ingest_table, read_csv, read_csv_head, scratch_folder, written
+from ledgerloom.sources import files, lake
 from ledgerloom.sources.files import type_of_name
 
 
@@ -133,3 +136,51 @@ def test_scratch_tables_and_raw_files_can_be_small(spark, tmp_path):
     kept = written(df)
     for files in (kept.inputFiles(), bronze.read("t").inputFiles()):
         assert all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_a_raw_file_is_written_once(spark, tmp_path, monkeypatch):
+    """No scratch copy, and counting on the way leaves a session that fitted models can serialise."""
+    def no_scratch(*_):
+        raise AssertionError("a scratch table")
+
+    monkeypatch.setattr(files, "scratch_folder", no_scratch)
+    (tmp_path / "T.csv").write_text("SK_ID_CURR,AMT\n" + "".join(f"{i},{'x' if i % 50 == 7 else i}\n" for i in range(200)))
+    bronze = Lake(spark, f"{tmp_path}/bronze")
+    for history in (False, True):
+        loaded = ingest_table(str(tmp_path), bronze, "T", dt.date(2024, 1, 1), keep_history=history)
+        assert (loaded.rows, loaded.rejected) == (196, 4)
+        assert bronze.read("t").count() == 196 and bronze.read("t_rejected").count() == 4
+    assert all(r["file"].endswith("T.csv") for r in bronze.read("t_rejected").collect())
+    assert len(spark._jvm.org.apache.spark.util.Utils.serialize(spark._jsparkSession)) > 0
+
+
+def test_the_session_aside_has_the_settings_of_the_other(spark):
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        aside = session_aside(spark)
+        assert aside.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", kept)
+
+
+def test_tables_that_do_not_need_each_other_are_made_side_by_side(spark, monkeypatch):
+    """Each waits for another that has begun."""
+    both = threading.Barrier(2)
+
+    def meet(raw, bronze, name, *_):
+        both.wait(30)
+        return name
+
+    monkeypatch.setattr(lake, "ingest_table", meet)
+    assert lake.ingest_tables("raw", Lake(spark, "bronze"), ["A", "B", "C", "D"]) == ["A", "B", "C", "D"]
+
+
+def test_an_error_of_one_table_is_raised(spark):
+    def fail():
+        raise ValueError("no such table")
+
+    with pytest.raises(ValueError, match="no such table"):
+        at_once(spark, [lambda: spark.range(3).count(), fail])
+    assert at_once(spark, [lambda i=i: spark.range(i).count() for i in range(9)]) == list(range(9))
+    assert at_once(spark, []) == []
